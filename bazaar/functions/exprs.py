@@ -100,7 +100,10 @@ def months_between_avg(first, last) -> Column:
 
 
 def round_half_even(x, digits: int = 2) -> Column:
-    return F.bround(c(x), digits)
+    """numpy/pandas ``round``: scale, round half to even on the binary value,
+    unscale (``2.675 -> 2.67``, unlike decimal HALF_EVEN)."""
+    k = float(10 ** digits)
+    return F.rint(c(x) * F.lit(k)) / F.lit(k)
 
 
 # -- time-bucket labels (pandas resample edges) ------------------------------

@@ -1,4 +1,4 @@
 """Import every query module so the registry is complete."""
 
-from . import order_queries  # noqa: F401
+from . import order_queries, seller_queries  # noqa: F401
 from .registry import REGISTRY  # noqa: F401

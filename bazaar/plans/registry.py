@@ -68,7 +68,19 @@ def msum(expr: str) -> str:
 
 def mdays(a: str, b: str) -> str:
     """Mean day difference over exact microseconds."""
-    return f"(avg(epoch_us({b}) - epoch_us({a})) / 86400000000.0::DOUBLE)"
+    d = f"(epoch_us({b}) - epoch_us({a}))"
+    return f"(sum({d})::DOUBLE / count({d}) / 86400000000.0::DOUBLE)"
+
+
+def mean(expr: str) -> str:
+    """Σ/n as one division (matches Spark's avg on exact sums)."""
+    return f"(sum({expr})::DOUBLE / count({expr}))"
+
+
+def npround(expr: str, digits: int) -> str:
+    """numpy round: scale, half-to-even on the binary value, unscale."""
+    k = f"{10 ** digits}.0::DOUBLE"
+    return f"(round_even(({expr}) * {k}, 0) / {k})"
 
 
 def pos0(expr: str) -> str:
