@@ -71,6 +71,16 @@ TRAIN_DOUBLES = {"wait_time", "expected_wait_time", "delay_vs_expected", "price"
                  "distance_seller_customer"}
 
 
+def train_raw_sql(with_distance: bool) -> str:
+    """Unrounded training rows (for oracles that compute on top of them)."""
+    cols = TRAIN_COLS + (["distance_seller_customer"] if with_distance else [])
+    dist = f" JOIN ({DISTANCE_SQL}) d USING (order_id)" if with_distance else ""
+    notnull = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+    return f"""SELECT {', '.join(cols)} FROM (
+  SELECT * FROM ({WAIT_SQL}) w JOIN ({FLAGS_SQL}) r USING (order_id)
+  JOIN ({STATS_SQL}) s USING (order_id){dist}) t WHERE {notnull}"""
+
+
 def _train_sql(with_distance: bool) -> str:
     cols = TRAIN_COLS + (["distance_seller_customer"] if with_distance else [])
     dist = f" JOIN ({DISTANCE_SQL}) d USING (order_id)" if with_distance else ""
