@@ -167,19 +167,21 @@ def logit(df: DataFrame, y: str, xs: Sequence[str], alpha: float = 0.05,
                                       maxIter=max_iter, tol=1e-10, regParam=0.0)
     try:
         m = glr.fit(feats)
+        s = m.summary
+        coef = [m.intercept, *m.coefficients.toArray().tolist()]
+        # pyspark.ml reports the intercept last in the summary arrays
+        se = [s.coefficientStandardErrors[-1], *s.coefficientStandardErrors[:-1]]
+        fit = (int(s.numInstances), float(s.deviance), float(s.nullDeviance), float(s.aic))
     finally:
         feats.unpersist()
-    s = m.summary
-    coef = [m.intercept, *m.coefficients.toArray().tolist()]
-    # pyspark.ml reports the intercept last in the summary arrays
-    se = [s.coefficientStandardErrors[-1], *s.coefficientStandardErrors[:-1]]
     z = [c / e for c, e in zip(coef, se)]
     p = [2 * (1 - 0.5 * (1 + math.erf(abs(v) / math.sqrt(2)))) for v in z]
     crit = norm_ppf(1 - alpha / 2)
     coefs = coef_table(df.sparkSession, [INTERCEPT, *xs], coef, se, z, p, crit)
-    pseudo = 1 - s.deviance / s.nullDeviance if s.nullDeviance else float("nan")
+    n, dev, null_dev, aic = fit
+    pseudo = 1 - dev / null_dev if null_dev else float("nan")
     stats = df.sparkSession.createDataFrame(
-        [(int(s.numInstances), len(xs), float(pseudo), float(s.deviance), float(s.nullDeviance), float(s.aic))],
+        [(n, len(xs), float(pseudo), dev, null_dev, aic)],
         "n long, k long, pseudo_r2 double, deviance double, null_deviance double, aic double")
     return coefs, stats
 

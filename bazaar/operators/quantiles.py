@@ -59,12 +59,12 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     keys = [F.col(c) for c in user_by] or [F.lit(0).alias("_g")]
     x = F.col("_x")
     base = cut_lineage(df.select(*keys, F.col(value).cast("double").alias("_x")).filter(x.isNotNull()))
-    stats = cut_lineage(base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo0"),
+    stats = (base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo0"),
                                               F.max("_x").alias("_hi0")))
     # stats has one row per group: AQE broadcasts it when small.
     data = base.join(stats.select(*by, "_lo0", "_hi0"), by)
-    data = cut_lineage(data.select(*by, "_x", _bucket(x, F.col("_lo0"), F.col("_hi0")).alias("_b1")))
-    targets = cut_lineage(
+    data = data.select(*by, "_x", _bucket(x, F.col("_lo0"), F.col("_hi0")).alias("_b1"))
+    targets = (
         stats.select(*by, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
         .withColumn("_pos", (F.col("_n") - 1) * F.col("p"))
         .withColumn("_r0", F.floor("_pos").cast("long")).withColumn("_r1", F.ceil("_pos").cast("long"))

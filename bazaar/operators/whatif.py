@@ -50,9 +50,12 @@ def seller_removal_whatif(sellers: DataFrame, num_partitions: int | None = None)
     without a profit figure are left out of the ranking.  For each k: the k-th
     removed seller, kept revenues / costs / gross profit / orders, IT cost =
     500000 / sqrt(N_all) x sqrt(N_kept) and net profit."""
-    s = sellers.filter(F.col("profits").isNotNull()).select("seller_id", "profits", *SUMMED)
+    # One row per seller: small next to the item data it was aggregated from.
+    # Materialized once so ranking, totals and offsets all read the same rows.
+    s = cut_lineage(sellers.filter(F.col("profits").isNotNull()).select("seller_id", "profits", *SUMMED))
     tot = s.agg(*[F.sum(c).alias(c) for c in SUMMED])
-    t_rev, t_cost, t_n = (tot.select(c).scalar() for c in SUMMED)
+    totals = tot.select(F.struct(*SUMMED)).scalar()   # one scalar subquery, reused
+    t_rev, t_cost, t_n = (totals.getField(c) for c in SUMMED)
     ranked = prefix_sums(s, ["profits", "seller_id"], SUMMED, num_partitions)
     steps = ranked.select("k", F.col("seller_id").alias("removed_seller_id"),
                           (t_rev - F.col("cum_revenues")).alias("revenues"),
