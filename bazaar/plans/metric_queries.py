@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import metrics as M
 from ..sources.driver_tables import driver_catalog
 from .registry import mdays, msum, npround, r6, register, stable_doubles
@@ -212,3 +214,12 @@ def q_lateness_brackets(spark, sf_dir):
 @register("lateness_bracket_total", f"SELECT CAST(sum(nb_weeks) AS BIGINT) AS total_weeks FROM ({_brackets_sql()}) b")
 def q_lateness_bracket_total(spark, sf_dir):
     return M.lateness_bracket_total(_cat(spark, sf_dir))
+
+
+@register("weekly_delay_tail", f"""
+SELECT period, {r6('avg_delay_vs_exp')} AS avg_delay_vs_exp, {r6('avg_wait_time')} AS avg_wait_time,
+       nb_of_delays, nb_of_orders, {r6('pct_of_lateness')} AS pct_of_lateness FROM ({WEEKLY_DELAY_SQL})
+ORDER BY period DESC LIMIT 10""")
+def q_weekly_delay_tail(spark, sf_dir):
+    """``tail(10)`` of the weekly report: the 10 latest weeks."""
+    return stable_doubles(M.weekly_delay_analysis(_cat(spark, sf_dir)).orderBy(F.desc("period")).limit(10))

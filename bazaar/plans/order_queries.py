@@ -193,6 +193,15 @@ def q_order_training_with_distance(spark, sf_dir):
     return stable_doubles(O.training_data(_cat(spark, sf_dir), with_distance=True))
 
 
+ONE_FIVE_COLS = [c for c in TRAIN_COLS if c not in ("dim_is_four_star", "dim_is_three_star", "dim_is_two_star")]
+
+
+@register("order_training_data_one_five", "SELECT " + ", ".join(
+    f"{r6(c)} AS {c}" if c in TRAIN_DOUBLES else c for c in ONE_FIVE_COLS) + f" FROM ({_train_sql(False)}) t")
+def q_order_training_one_five(spark, sf_dir):
+    return stable_doubles(O.training_data(_cat(spark, sf_dir), flags="one_five"))
+
+
 @register("order_product_details", f"""
 SELECT order_id, {r6('product_weight_g_sum')} AS product_weight_g_sum,
        {r6('product_length_cm_max')} AS product_length_cm_max,

@@ -322,3 +322,16 @@ def q_remove_worst(spark, sf_dir):
 @register("filter_profit_band", f"SELECT {_ECON_R} FROM ({ECON_SQL}) e WHERE profits > -200 AND profits < 200")
 def q_profit_band(spark, sf_dir):
     return stable_doubles(W.filter_profit_band(_econ(spark, sf_dir), -200, 200))
+
+
+@register("ols_predictions_eta")
+def q_ols_predictions(spark, sf_dir):
+    """Fitted wait time and residual (fitted - actual) per training row."""
+    d = _train(spark, sf_dir)
+    return stable_doubles(MD.with_prediction(d, "wait_time", ETA_FEATURES).select("order_id", "wait_time", "fitted", "residual"))
+
+
+@register("seller_pnl_dedup")
+def q_seller_pnl_dedup(spark, sf_dir):
+    """Unrounded revenues, de-duplicated review cost (the recap variant)."""
+    return stable_doubles(S.seller_economics(driver_catalog(spark, sf_dir), variant="dedup"))
