@@ -148,11 +148,76 @@ def seller_pnl(t: Tables, dedupe: bool = False, digits: int | None = 2) -> DataF
                     (rev - F.col("review_cost")).alias("profits"))
 
 
+def seller_summary(t: Tables) -> DataFrame:
+    """Every numeric seller feature from ONE pass over the items.
+
+    Items are first reduced to one row per (order, seller) carrying exact
+    microsecond sums; that row meets its order (one row per order) and its
+    review counts (one row per order) and a single ``groupBy(seller_id)``
+    produces all features.  Each feature keeps its own population through
+    conditional aggregates (``has_*`` flags), so joining on the flags gives
+    exactly the inner-join populations of the separate jobs."""
+    epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+    us = lambda c: micros_between(epoch, c)  # noqa: E731  (wall-clock, zone-free)
+    pairs = (t["order_items"].filter(F.col("seller_id").isNotNull())
+             .groupBy("order_id", "seller_id")
+             .agg(F.count(F.lit(1)).alias("w"), F.count("order_id").alias("w_oid"),
+                  F.count("shipping_limit_date").alias("w_lim"), F.sum(us("shipping_limit_date")).alias("lim_us"),
+                  F.sum(F.col("price").cast("decimal(28,10)")).alias("sales")))
+    o = t["orders"].filter(F.col("order_id").isNotNull()).select(
+        "order_id", F.lit(True).alias("in_orders"), (F.col("order_status") == "delivered").alias("delivered"),
+        "order_approved_at", us("order_delivered_carrier_date").alias("car_us"),
+        micros_between("order_purchase_timestamp", "order_delivered_customer_date").alias("wait_us"))
+    r = reviews_per_order(t)
+    j = pairs.join(o, "order_id", "left").join(r, "order_id", "left")
+    dlv = F.coalesce(F.col("delivered"), F.lit(False))
+    car_ok = dlv & F.col("car_us").isNotNull()
+    wait_ok = dlv & F.col("wait_us").isNotNull()
+    has_rev = F.col("n_rows").isNotNull()
+    w = F.col("w")
+    g = j.groupBy("seller_id").agg(
+        F.max(dlv).alias("has_delivered"),
+        F.sum(F.when(car_ok, F.col("w_lim") * F.col("car_us") - F.col("lim_us"))).alias("delay_us"),
+        F.sum(F.when(car_ok, F.col("w_lim"))).alias("delay_n"),
+        F.sum(F.when(wait_ok, w * F.col("wait_us"))).alias("wait_sum"),
+        F.sum(F.when(wait_ok, w)).alias("wait_n"),
+        F.min("order_approved_at").alias("date_first_sale"), F.max("order_approved_at").alias("date_last_sale"),
+        F.count(F.when(F.col("w_oid") > 0, 1)).alias("n_orders"), F.sum("w_oid").alias("quantity"),
+        F.coalesce(F.sum("sales").cast("double"), F.lit(0.0)).alias("sales"),
+        F.max(has_rev).alias("has_review"),
+        F.max(has_rev & F.coalesce(F.col("in_orders"), F.lit(False))).alias("has_cost"),
+        F.sum(w * F.col("n_scored")).alias("rv_n"), F.sum(w * F.col("sum_score")).alias("rv_sum"),
+        F.sum(w * F.col("n5")).alias("rv_n5"), F.sum(w * F.col("n1")).alias("rv_n1"),
+        F.sum(F.when(F.col("in_orders"), w * F.col("cost"))).alias("review_cost"),
+        # de-duplicated (order, seller) review counts: every pair weighs 1
+        F.sum("n_rows").alias("dd_rows"), F.sum("n_scored").alias("dd_scored"), F.sum("sum_score").alias("dd_sum"),
+        *[F.sum(f"n{k}").alias(f"dd_{k}") for k in (1, 2, 3, 4, 5)])
+    d = F.col("delay_us") / F.col("delay_n") / F.lit(MICROS_PER_DAY)
+    return g.select(
+        "seller_id", "has_delivered", "has_review", "has_cost",
+        F.when(d > 0, d).otherwise(F.lit(0.0)).alias("delay_to_carrier"),
+        (F.col("wait_sum") / F.col("wait_n") / F.lit(MICROS_PER_DAY)).alias("wait_time"),
+        "date_first_sale", "date_last_sale",
+        months_between_avg("date_first_sale", "date_last_sale").alias("months_on_olist"),
+        "n_orders", "quantity", F.try_divide(F.col("quantity"), F.col("n_orders")).alias("quantity_per_order"),
+        "sales",
+        F.try_divide(F.col("rv_n5"), F.col("rv_n")).alias("share_of_five_stars"),
+        F.try_divide(F.col("rv_n1"), F.col("rv_n")).alias("share_of_one_stars"),
+        F.try_divide(F.col("rv_sum"), F.col("rv_n")).alias("review_score"),
+        "review_cost", "dd_rows", "dd_scored", "dd_sum", *[f"dd_{k}" for k in (1, 2, 3, 4, 5)])
+
+
 def training_data(t: Tables) -> DataFrame:
-    """The 18-column seller table (inner joins on seller_id)."""
-    parts = [seller_features(t), seller_delay_wait(t), seller_active_dates(t), seller_quantity(t),
-             seller_sales(t), seller_review_score(t), seller_pnl(t)]
-    return reduce(lambda a, b: a.join(b, "seller_id"), parts)
+    """The 18-column seller table: features ⨝ the one-pass summary, restricted
+    to the sellers every per-feature inner join would keep."""
+    s = seller_summary(t).filter(F.col("has_delivered") & F.col("date_first_sale").isNotNull()
+                                 & F.col("has_review") & F.col("has_cost"))
+    rev = seller_revenue(F.col("months_on_olist"), F.col("sales"), 2)
+    return seller_features(t).join(s, "seller_id").select(
+        "seller_id", "seller_city", "seller_state", "delay_to_carrier", "wait_time", "date_first_sale",
+        "date_last_sale", "months_on_olist", "n_orders", "quantity", "quantity_per_order", "sales",
+        "share_of_five_stars", "share_of_one_stars", "review_score", rev.alias("revenue"), "review_cost",
+        (rev - F.col("review_cost")).alias("profits"))
 
 
 def seller_economics(t: Tables, variant: str = "star_counts") -> DataFrame:
@@ -162,9 +227,12 @@ def seller_economics(t: Tables, variant: str = "star_counts") -> DataFrame:
     round(100 n1 + 50 n2 + 40 n3, 1) over de-duplicated (order, seller) reviews.
     ``dedup``: unrounded revenues, cost_of_reviews de-duplicated.
     Output: seller_id, n_orders, revenues, costs, profits, revenues_per_n_orders."""
-    parts = [seller_features(t), seller_delay_wait(t), seller_active_dates(t),
-             seller_review_counts(t), seller_quantity(t), seller_sales(t)]
-    base = reduce(lambda a, b: a.join(b, "seller_id"), parts)
+    summ = seller_summary(t).filter(F.col("has_delivered") & F.col("date_first_sale").isNotNull()
+                                    & F.col("has_review"))
+    base = seller_features(t).join(summ, "seller_id").select(
+        "seller_id", "n_orders", "months_on_olist", "sales",
+        F.col("dd_1").alias("count_of_one_star"), F.col("dd_2").alias("count_of_two_star"),
+        F.col("dd_3").alias("count_of_three_star"))
     digits = 1 if variant == "star_counts" else None
     revenues = seller_revenue(F.col("months_on_olist"), F.col("sales"), digits)
     raw_cost = (F.lit(100) * F.col("count_of_one_star") + F.lit(50) * F.col("count_of_two_star")

@@ -117,13 +117,19 @@ def corr_with_target(df: DataFrame, target: str, columns: Sequence[str] | None =
             .orderBy(F.desc("abs_corr"), F.asc("variable")))
 
 
+def scalars(agg: DataFrame) -> dict[str, "F.Column"]:
+    """Columns of a 1-row aggregate as ONE struct-valued scalar subquery
+    (identical subqueries are reused, so the aggregate runs once)."""
+    sub = agg.select(F.struct(*agg.columns).alias("s")).scalar()
+    return {c: sub.getField(c) for c in agg.columns}
+
+
 def zscore(df: DataFrame, columns: Sequence[str], ddof: int = 1) -> DataFrame:
     """Standardize columns: (x - mean) / std with ``ddof`` 0 (scipy) or 1
-    (pandas).  Mean and std are one aggregation used as scalar subqueries."""
+    (pandas).  Means and stds are one aggregation used as a scalar subquery."""
     sd = F.stddev_pop if ddof == 0 else F.stddev_samp
-    stats = df.agg(*[F.avg(c).alias(f"m_{c}") for c in columns], *[sd(c).alias(f"s_{c}") for c in columns])
-    repl = {c: (F.col(c) - stats.select(f"m_{c}").scalar()) / stats.select(f"s_{c}").scalar() for c in columns}
-    return df.withColumns(repl)
+    st = scalars(df.agg(*[F.avg(c).alias(f"m_{c}") for c in columns], *[sd(c).alias(f"s_{c}") for c in columns]))
+    return df.withColumns({c: (F.col(c) - st[f"m_{c}"]) / st[f"s_{c}"] for c in columns})
 
 
 def _bins(x, lo, hi, bins: int):
@@ -138,8 +144,8 @@ def histogram(df: DataFrame, column: str, bins: int = 10, by: str | None = None)
     keys = [by] if by else []
     x = F.col(column).cast("double")
     d = df.select(*keys, x.alias("x")).filter(F.col("x").isNotNull())
-    bounds = d.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
+    b = scalars(d.agg(F.min("x").alias("lo"), F.max("x").alias("hi")))
+    lo, hi = b["lo"], b["hi"]
     counts = d.groupBy(*keys, _bins(F.col("x"), lo, hi, bins).alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     grid = (d.select(*keys).distinct() if keys else d.limit(1).select()).select(
         *keys, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
@@ -185,7 +191,7 @@ def density(df: DataFrame, column: str, by: str | None = None, grid_size: int =
 
 def _with_scalars(d: DataFrame, st: DataFrame) -> DataFrame:
     """Attach the columns of a 1-row aggregate as scalar subqueries."""
-    return d.withColumns({c: st.select(c).scalar() for c in st.columns})
+    return d.withColumns(scalars(st))
 
 
 def qq_points(df: DataFrame, column: str, n_points: int = 100) -> DataFrame:
@@ -196,8 +202,8 @@ def qq_points(df: DataFrame, column: str, n_points: int = 100) -> DataFrame:
     q = exact_quantiles(df, column, probs)
     spark = df.sparkSession
     theo = spark.createDataFrame([(p, norm_ppf(p)) for p in probs], "p double, theoretical double")
-    st = df.agg(F.avg(column).alias("m"), F.stddev_samp(column).alias("s"))
-    m, s = st.select("m").scalar(), st.select("s").scalar()
+    st = scalars(df.agg(F.avg(column).alias("m"), F.stddev_samp(column).alias("s")))
+    m, s = st["m"], st["s"]
     return (theo.join(q, "p").select("p", "theoretical", F.col("quantile").alias("sample"),
                                      (m + s * F.col("theoretical")).alias("line")))
 
