@@ -86,11 +86,21 @@ def product_sales(t: Tables) -> DataFrame:
     return i.groupBy("product_id").agg(F.coalesce(money_sum("price"), F.lit(0.0)).alias("sales"))
 
 
+def product_item_stats(t: Tables) -> DataFrame:
+    """price (mean), n_orders, quantity and sales in one aggregation of the items."""
+    i = t["order_items"].filter(F.col("product_id").isNotNull())
+    return i.groupBy("product_id").agg(
+        F.try_divide(money_sum("price"), F.count("price")).alias("price"),
+        F.count_distinct("order_id").alias("n_orders"), F.count("order_id").alias("quantity"),
+        F.coalesce(money_sum("price"), F.lit(0.0)).alias("sales"))
+
+
 def training_data(t: Tables) -> DataFrame:
     """The 17-column product table (inner joins on product_id)."""
-    parts = [product_features(t), product_wait_time(t), product_price(t), product_review_score(t),
-             product_quantity(t), product_sales(t)]
-    return reduce(lambda a, b: a.join(b, "product_id"), parts)
+    parts = [product_features(t), product_wait_time(t), product_review_score(t), product_item_stats(t)]
+    j = reduce(lambda a, b: a.join(b, "product_id"), parts)
+    return j.select(*FEATURE_COLUMNS, "wait_time", "price", "share_of_one_stars", "share_of_five_stars",
+                    "review_score", "n_orders", "quantity", "sales")
 
 
 ROLLUP_COLUMNS = ["product_name_length", "product_description_length", "product_photos_qty",

@@ -331,7 +331,17 @@ def q_ols_predictions(spark, sf_dir):
     return stable_doubles(MD.with_prediction(d, "wait_time", ETA_FEATURES).select("order_id", "wait_time", "fitted", "residual"))
 
 
-@register("seller_pnl_dedup")
+def _pnl_dedup_sql() -> str:
+    from .seller_queries import COUNTS_SQL, DATES_SQL, DELAY_SQL, FEATURES_SQL, QUANTITY_SQL, SALES_SQL
+    rev = f"(dt.months_on_olist * 80.0{D} + s.sales * 0.1{D})"
+    cost = f"((100 * c.count_of_one_star + 50 * c.count_of_two_star + 40 * c.count_of_three_star){D})"
+    return f"""SELECT f.seller_id, q.n_orders, {r6(rev)} AS revenues, {r6(cost)} AS costs,
+    {r6(f'{rev} - {cost}')} AS profits, {r6(f'{rev} / q.n_orders')} AS revenues_per_n_orders
+FROM ({FEATURES_SQL}) f JOIN ({DELAY_SQL}) dw USING (seller_id) JOIN ({DATES_SQL}) dt USING (seller_id)
+JOIN ({COUNTS_SQL}) c USING (seller_id) JOIN ({QUANTITY_SQL}) q USING (seller_id) JOIN ({SALES_SQL}) s USING (seller_id)"""
+
+
+@register("seller_pnl_dedup", _pnl_dedup_sql())
 def q_seller_pnl_dedup(spark, sf_dir):
     """Unrounded revenues, de-duplicated review cost (the recap variant)."""
     return stable_doubles(S.seller_economics(driver_catalog(spark, sf_dir), variant="dedup"))
