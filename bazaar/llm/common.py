@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bazaar.session import ensure_checkpoint_dir
 
@@ -57,3 +58,20 @@ def text_steps(column: pa.Array, max_bytes: int = STEP_BYTES
         end = min(max(end, first + 1), n)
         yield first, end, data[offsets[first]:offsets[end]], offsets[first:end + 1] - offsets[first]
         first = end
+
+
+#: Name of the row number that ties an operator's verdict to an input row.
+ROW = "__row"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number per row.  A stored table gives the same numbers at
+    every reading, so verdicts can be joined back even when ids are null or
+    repeated; callers pass stored tables."""
+    return docs.withColumn(ROW, F.monotonically_increasing_id())
+
+
+def without_rows(docs: DataFrame, lost: DataFrame) -> DataFrame:
+    """``docs`` without the rows numbered in column ``row`` of ``lost``."""
+    lost = lost.select(F.col("row").alias(ROW))
+    return numbered(docs).join(lost, ROW, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

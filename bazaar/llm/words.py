@@ -76,20 +76,25 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, np.flatnonzero(stop) + 1, np.searchsorted(offsets, starts, "right") - 1
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, document index) of every word, in text order.  Texts beyond a few
-    MB are hashed in segments of whole words, so scratch memory stays bounded."""
-    data = _LOWER[data]
-    starts, ends, doc = word_bounds(data, offsets)
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """``span_hashes`` of ordered spans.  Beyond a few MB the data are taken in
+    segments of whole spans, so scratch memory stays bounded."""
     if len(data) <= _SEGMENT:
-        return span_hashes(data, starts, ends), doc
-    out, i = [], 0
+        return span_hashes(data, starts, ends)
+    out, i = [np.zeros(0, np.uint64)], 0
     while i < len(starts):
         j = max(int(np.searchsorted(ends, starts[i] + _SEGMENT, "right")), i + 1)
         a = starts[i]
         out.append(span_hashes(data[a:ends[j - 1]], starts[i:j] - a, ends[i:j] - a))
         i = j
-    return np.concatenate(out) if out else np.zeros(0, np.uint64), doc
+    return np.concatenate(out)
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, document index) of every word of the lower-cased text, in order."""
+    data = _LOWER[data]
+    starts, ends, doc = word_bounds(data, offsets)
+    return hash_spans(data, starts, ends), doc
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
