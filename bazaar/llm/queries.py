@@ -10,8 +10,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common
+from . import bitpack, common
+from .bounded_packing import pack
+from .grace_dedup import duplicate_groups
+from .license_scan import license_scan
 from .partenum_join import jaccard_components
+from .quality_forest import quality_rules
+from .raking import mix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -29,3 +34,43 @@ def query(name: str, sql: str | None = None):
 @query("op5_partenum_jaccard_join")
 def op5(spark, sf_dir):
     return jaccard_components(common.read_documents(spark, sf_dir))
+
+
+@query("op2_quality_rules_forest")
+def op2(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_rules(common.read_documents(spark, sf_dir), labels).drop("row")
+
+
+LOWER_AZ = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+            "'abcdefghijklmnopqrstuvwxyz')")
+
+
+@query("op4_grace_exact_dedup", f"""
+WITH d AS (SELECT doc_id, {LOWER_AZ} AS t FROM documents),
+g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
+FROM d JOIN g USING (t)""")
+def op4(spark, sf_dir):
+    return duplicate_groups(common.read_documents(spark, sf_dir)).drop("row")
+
+
+@query("op7_raking_mix")
+def op7(spark, sf_dir):
+    return mix(common.read_documents(spark, sf_dir)).drop("row")
+
+
+@query("op8_bounded_packing")
+def op8(spark, sf_dir):
+    return pack(common.read_documents(spark, sf_dir))
+
+
+@query("op9_bit_packed_tokens")
+def op9(spark, sf_dir):
+    folder = bitpack.new_folder(spark)
+    return bitpack.read_tokens(bitpack.write_tokens(common.read_documents(spark, sf_dir), folder), folder)
+
+
+@query("op10_license_scan")
+def op10(spark, sf_dir):
+    return license_scan(common.read_documents(spark, sf_dir))

@@ -1,17 +1,53 @@
-"""Corpus pipeline (stages follow as their operators are added)."""
+"""Corpus pipeline: quality rules, exact de-duplication, near duplicates, source
+mix, packing.
+
+Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is
+written as Parquet and read again as the next stage's ``docs``.  All but the last
+return the columns of their input.  Rows with a null or repeated id pass through
+the filtering stages by row; see the operators for each defined case.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaar.llm import common
+from bazaar.llm import bounded_packing, common, grace_dedup, partenum_join, quality_forest, raking
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go."""
+    return quality_forest.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the one with the largest id stays."""
+    return grace_dedup.drop_duplicates(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest id stays."""
+    return partenum_join.drop_linked(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are drawn by their calibrated probabilities."""
+    return raking.sample_mix(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a document in a training window."""
+    return bounded_packing.pack(docs)
+
+
+STAGES = [("quality", quality), ("exact", exact), ("near", near), ("mix", mix), ("pack", pack)]
 
-STAGES = []
+#: None: trained rules, hashed draws and tokenizer ids are beyond SQL; the tests
+#: compare every stage with a brute-force version instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read_documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = common.materialize(stage(spark, docs, sf_dir), name)
+        docs = common.materialize(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs
