@@ -61,7 +61,7 @@ def text_steps(column: pa.Array, max_bytes: int = STEP_BYTES
 
 
 #: Name of the row number that ties an operator's verdict to an input row.
-ROW = "__row"
+ROW = "__bazaar_row_number"
 
 
 def numbered(docs: DataFrame) -> DataFrame:

@@ -17,6 +17,9 @@ from .license_scan import license_scan
 from .partenum_join import jaccard_components
 from .quality_forest import quality_rules
 from .raking import mix
+from .secret_forest import secret_scan
+from .sentence_spans import remove_repeated_spans
+from .suffix_dedup import removed_spans
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -74,3 +77,18 @@ def op9(spark, sf_dir):
 @query("op10_license_scan")
 def op10(spark, sf_dir):
     return license_scan(common.read_documents(spark, sf_dir))
+
+
+@query("op1_sentence_span_dedup")
+def op1(spark, sf_dir):
+    return remove_repeated_spans(common.read_documents(spark, sf_dir))
+
+
+@query("op3_run_length_suffix_dedup")
+def op3(spark, sf_dir):
+    return removed_spans(common.read_documents(spark, sf_dir))
+
+
+@query("op6_secret_forest")
+def op6(spark, sf_dir):
+    return secret_scan(common.read_documents(spark, sf_dir))
