@@ -91,7 +91,8 @@ def haversine_km(lon1, lat1, lon2, lat2) -> Column:
     lo1, la1, lo2, la2 = (F.radians(c(v)) for v in (lon1, lat1, lon2, lat2))
     a = (F.pow(F.sin((la2 - la1) / 2), 2)
          + F.cos(la1) * F.cos(la2) * F.pow(F.sin((lo2 - lo1) / 2), 2))
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(a))
+    # rounding can lift an antipodal pair a little above 1
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.when(a > 1, F.lit(1.0)).otherwise(a)))
 
 
 def months_between_avg(first, last) -> Column:

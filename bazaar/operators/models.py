@@ -3,8 +3,8 @@
 OLS is fitted from one distributed aggregation of means and (co)variances
 (Spark's numerically stable online covariance), so only a (k+1) x (k+1)
 matrix reaches the driver; coefficients, standard errors, t, p, confidence
-intervals and fit statistics follow from it.  Logistic regression uses
-``pyspark.ml``'s IRLS (``GeneralizedLinearRegression``, binomial/logit).
+intervals and fit statistics follow from it.  Logistic regression takes Newton
+steps, each from one aggregation of the score and the information matrix.
 Predictions and residuals are plain column expressions (codegen).
 """
 
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.distributions import f_sf, norm_ppf, t_ppf, t_sf2
+from ..session import cut_lineage
 
 INTERCEPT = "Intercept"
 COEF_SCHEMA = ("variable string, coef double, std_err double, t double, p_value double, "
@@ -100,7 +101,8 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], alpha: float = 0.05) -> tuple[
     """-> (coefficients, fit statistics) DataFrames, statsmodels-style."""
     f = ols_fit(df, y, xs)
     se = np.sqrt(np.diag(f.cov))
-    t = f.coef / se
+    # a perfect fit has no error: its t values are infinite
+    t = [float(b / s) if s > 0 else math.copysign(math.inf, b) if b else math.nan for b, s in zip(f.coef, se)]
     dfr = f.df_resid
     p = [t_sf2(v, dfr) for v in t]
     crit = t_ppf(1 - alpha / 2, dfr)
@@ -108,7 +110,7 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], alpha: float = 0.05) -> tuple[
     r2 = 1 - f.rss / f.tss if f.tss > 0 else float("nan")
     adj = 1 - (1 - r2) * (f.n - 1) / dfr
     fstat = (r2 / f.k) / ((1 - r2) / dfr) if r2 < 1 else float("inf")
-    ll = -f.n / 2 * (math.log(2 * math.pi) + math.log(f.rss / f.n) + 1)
+    ll = -f.n / 2 * (math.log(2 * math.pi) + math.log(f.rss / f.n) + 1) if f.rss > 0 else math.inf
     stats = df.sparkSession.createDataFrame(
         [tuple(float(v) if i > 1 else int(v) for i, v in enumerate(
             (f.n, f.k, r2, adj, fstat, f_sf(fstat, f.k, dfr), ll, -2 * ll + 2 * (f.k + 1),
@@ -119,8 +121,8 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], alpha: float = 0.05) -> tuple[
 
 
 def significant_coefs(coefs: DataFrame, alpha: float = 0.05) -> DataFrame:
-    """Coefficients with p < alpha, largest coefficient first."""
-    return coefs.filter(F.col("p_value") < alpha).select("variable", "p_value", "coef").orderBy(F.desc("coef"))
+    """Regressors with p < alpha, largest coefficient first (no intercept)."""
+    return coefs.filter((F.col("p_value") < alpha) & (F.col("variable") != INTERCEPT)).select("variable", "p_value", "coef").orderBy(F.desc("coef"))
 
 
 def with_prediction(df: DataFrame, y: str, xs: Sequence[str], fit: OLSFit | None = None) -> DataFrame:
@@ -153,37 +155,89 @@ def vif(df: DataFrame, xs: Sequence[str]) -> DataFrame:
                                            "variable string, vif double")
 
 
-def logit(df: DataFrame, y: str, xs: Sequence[str], alpha: float = 0.05,
-          max_iter: int = 100) -> tuple[DataFrame, DataFrame]:
-    """Binary logit y ~ 1 + xs by IRLS -> (coefficients with z and p, fit stats)."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GeneralizedLinearRegression
+LOGIT_SCHEMA = COEF_SCHEMA + ", converged boolean"
+LOGIT_FIT_SCHEMA = ("n long, k long, pseudo_r2 double, deviance double, null_deviance double, aic double, "
+                    "iterations int, converged boolean")
+
+
+@dataclass
+class LogitFit:
+    variables: list[str]
+    n: int
+    positives: int
+    coef: np.ndarray | None       # None: no maximum exists, or it wasn't reached
+    cov: np.ndarray | None
+    deviance: float
+    iterations: int
+
+    @property
+    def converged(self) -> bool:
+        return self.coef is not None
+
+
+def _score_and_information(d: DataFrame, y: str, xs: Sequence[str], beta: np.ndarray):
+    """Deviance, score vector and information matrix at ``beta``, one aggregation."""
+    eta = F.lit(float(beta[0]))
+    for x, b in zip(xs, beta[1:]):
+        eta = eta + F.col(x) * F.lit(float(b))
+    d = d.select(F.col(y).alias("y"), F.lit(1.0).alias("x0"), *[F.col(x).alias(f"x{i}") for i, x in enumerate(xs, 1)],
+                 eta.alias("eta"))
+    d = d.withColumn("p", 1 / (1 + F.exp(-F.col("eta")))).withColumn("w", F.col("p") * (1 - F.col("p")))
+    m = len(xs) + 1
+    # log(1 + exp(eta)), without overflow
+    softplus = F.greatest(F.col("eta"), F.lit(0.0)) + F.log1p(F.exp(-F.abs("eta")))
+    aggs = [(2 * F.sum(softplus - F.col("y") * F.col("eta"))).alias("deviance")]
+    aggs += [F.sum((F.col("y") - F.col("p")) * F.col(f"x{i}")).alias(f"s{i}") for i in range(m)]
+    aggs += [F.sum(F.col("w") * F.col(f"x{i}") * F.col(f"x{j}")).alias(f"i{i}_{j}") for i in range(m) for j in range(i, m)]
+    row = d.agg(*aggs).first()
+    info = np.array([[row[f"i{min(i, j)}_{max(i, j)}"] for j in range(m)] for i in range(m)], float)
+    return float(row["deviance"]), np.array([row[f"s{i}"] for i in range(m)], float), info
+
+
+def logit_fit(df: DataFrame, y: str, xs: Sequence[str], max_iter: int = 25, tol: float = 1e-9) -> LogitFit:
+    """Binary logit y ~ 1 + xs on complete rows, by Newton steps.
+
+    Under (quasi-)separation the likelihood has no maximum: steps don't shrink or
+    the information matrix loses rank.  Both are reported as not converged."""
     xs = list(xs)
-    d = df.select(F.col(y).cast("double").alias(y), *[F.col(c).cast("double").alias(c) for c in xs]).na.drop()
-    # IRLS scans its input once per iteration: keep the narrow assembled
-    # frame cached for the fit (a lost block is recomputed from lineage).
-    feats = VectorAssembler(inputCols=xs, outputCol="_features").transform(d).select(y, "_features").persist()
-    glr = GeneralizedLinearRegression(family="binomial", link="logit", labelCol=y, featuresCol="_features",
-                                      maxIter=max_iter, tol=1e-10, regParam=0.0)
-    try:
-        m = glr.fit(feats)
-        s = m.summary
-        coef = [m.intercept, *m.coefficients.toArray().tolist()]
-        # pyspark.ml reports the intercept last in the summary arrays
-        se = [s.coefficientStandardErrors[-1], *s.coefficientStandardErrors[:-1]]
-        fit = (int(s.numInstances), float(s.deviance), float(s.nullDeviance), float(s.aic))
-    finally:
-        feats.unpersist()
-    z = [c / e for c, e in zip(coef, se)]
-    p = [2 * (1 - 0.5 * (1 + math.erf(abs(v) / math.sqrt(2)))) for v in z]
+    d = cut_lineage(df.select(*[F.col(c).cast("double").alias(c) for c in (y, *xs)]).na.drop())
+    head = d.agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("pos")).first()
+    n, pos = int(head["n"]), int(head["pos"] or 0)
+    names = [INTERCEPT, *xs]
+    if pos in (0, n):
+        return LogitFit(names, n, pos, None, None, math.nan, 0)
+    beta = np.zeros(len(names))
+    beta[0] = math.log(pos / (n - pos))
+    for step in range(1, max_iter + 1):
+        deviance, score, info = _score_and_information(d, y, xs, beta)
+        scale = np.sqrt(np.maximum(np.diag(info), 0.0))
+        if not np.all(scale > 0) or np.linalg.cond(info / np.outer(scale, scale)) > 1e12:
+            break
+        move = np.linalg.solve(info, score)
+        if np.max(np.abs(move) / (1 + np.abs(beta))) < tol:
+            return LogitFit(names, n, pos, beta + move, np.linalg.inv(info), deviance, step)
+        beta = beta + move
+    return LogitFit(names, n, pos, None, None, math.nan, step)
+
+
+def logit(df: DataFrame, y: str, xs: Sequence[str], alpha: float = 0.05,
+          max_iter: int = 25) -> tuple[DataFrame, DataFrame]:
+    """-> (coefficients with z and p, fit statistics).  Where no estimate exists
+    ``converged`` is false and every estimate is NULL."""
+    f = logit_fit(df, y, xs, max_iter)
+    spark, k = df.sparkSession, len(list(xs))
+    if not f.converged:
+        rows = [(v, *[None] * 6, False) for v in f.variables]
+        return (spark.createDataFrame(rows, LOGIT_SCHEMA),
+                spark.createDataFrame([(f.n, k, None, None, None, None, f.iterations, False)], LOGIT_FIT_SCHEMA))
+    se = np.sqrt(np.diag(f.cov))
     crit = norm_ppf(1 - alpha / 2)
-    coefs = coef_table(df.sparkSession, [INTERCEPT, *xs], coef, se, z, p, crit)
-    n, dev, null_dev, aic = fit
-    pseudo = 1 - dev / null_dev if null_dev else float("nan")
-    stats = df.sparkSession.createDataFrame(
-        [(n, len(xs), float(pseudo), dev, null_dev, aic)],
-        "n long, k long, pseudo_r2 double, deviance double, null_deviance double, aic double")
-    return coefs, stats
+    rows = [(v, float(b), float(s), float(b / s), math.erfc(abs(b / s) / math.sqrt(2)), float(b - crit * s),
+             float(b + crit * s), True) for v, b, s in zip(f.variables, f.coef, se)]
+    share = f.positives / f.n
+    null_deviance = -2 * (f.positives * math.log(share) + (f.n - f.positives) * math.log1p(-share))
+    fit = (f.n, k, 1 - f.deviance / null_deviance, f.deviance, null_deviance, f.deviance + 2 * (k + 1), f.iterations, True)
+    return spark.createDataFrame(rows, LOGIT_SCHEMA), spark.createDataFrame([fit], LOGIT_FIT_SCHEMA)
 
 
 def coef_compare(linear: DataFrame, logistic: DataFrame) -> DataFrame:
@@ -198,15 +252,27 @@ def partial_regression(df: DataFrame, y: str, xs: Sequence[str], focus: str) ->
     vs residual of ``focus`` on them (Frisch-Waugh-Lovell: the slope through
     these points equals the full-model coefficient)."""
     others = [x for x in xs if x != focus]
-    d = df.select(*[F.col(c).cast("double").alias(c) for c in {y, *xs}]).na.drop()
+    d = cut_lineage(df.select(*[F.col(c).cast("double").alias(c) for c in (y, *xs)]).na.drop())
     fy, fx = ols_fit(d, y, others), ols_fit(d, focus, others)
     return d.select((F.col(focus) - fx.predict(others)).alias("res_x"),
                     (F.col(y) - fy.predict(others)).alias("res_y"))
 
 
+def partial_regressions(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
+    """Added-variable data of every regressor: (variable, res_x, res_y)."""
+    d = cut_lineage(df.select(*[F.col(c).cast("double").alias(c) for c in (y, *xs)]).na.drop())
+    out = []
+    for focus in xs:
+        others = [x for x in xs if x != focus]
+        fy, fx = ols_fit(d, y, others), ols_fit(d, focus, others)
+        out += [F.struct(F.lit(focus).alias("variable"), (F.col(focus) - fx.predict(others)).alias("res_x"),
+                         (F.col(y) - fy.predict(others)).alias("res_y"))]
+    return d.select(F.inline(F.array(*out)))
+
+
 def residual_vs_fitted(df: DataFrame, y: str, xs: Sequence[str], bins: int = 50) -> DataFrame:
     """2-D binned (fitted, residual) counts: the scatter data at any scale."""
-    p = with_prediction(df.select(y, *xs).na.drop(), y, xs)
+    p = with_prediction(cut_lineage(df.select(y, *xs).na.drop()), y, xs)
     b = p.agg(F.min("fitted").alias("f0"), F.max("fitted").alias("f1"),
               F.min("residual").alias("r0"), F.max("residual").alias("r1")).first()
 

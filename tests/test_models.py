@@ -80,3 +80,66 @@ def test_exact_quantiles_with_heavy_ties(spark, monkeypatch):
     probs = [0, 0.1, 0.25, 0.5, 0.75, 0.9, 1]
     got = sorted((r.p, r.quantile) for r in exact_quantiles(df, "v", probs).collect())
     assert [q for _, q in got] == pytest.approx(list(np.quantile(v, probs)), abs=0)
+
+
+def test_logit_reports_separation(spark):
+    rng = np.random.default_rng(8)
+    rows = [(float(i % 3 == 0 and i > 300), float(i > 300), float(rng.normal())) for i in range(600)]  # quasi: y = 0 where a = 0
+    full = [(float(x > 0), float(x)) for x in rng.normal(size=200)]                                    # complete
+    for parts in (1, 5):
+        for df, xs in ((spark.createDataFrame(rows, "y double, a double, b double"), ["a", "b"]),
+                       (spark.createDataFrame(full, "y double, x double"), ["x"])):
+            coefs, fit = MD.logit(df.repartition(parts), "y", xs)
+            assert all(r.converged is False and r.coef is None and r.std_err is None for r in coefs.collect())
+            assert fit.first().converged is False and fit.first().pseudo_r2 is None
+
+
+def test_logit_is_equal_for_any_partitioning(spark):
+    rng = np.random.default_rng(9)
+    rows = [(float(rng.random() < 1 / (1 + np.exp(-x))), float(x)) for x in rng.normal(size=500)]
+    df = spark.createDataFrame(rows, "y double, x double")
+    seen = {tuple(round(v, 9) for r in MD.logit(df.repartition(p), "y", ["x"])[0].orderBy("variable").collect()
+                  for v in (r.coef, r.std_err, r.p_value)) for p in (1, 4, 13)}
+    assert len(seen) == 1
+
+
+def test_logit_p_value_keeps_digits(spark):
+    rows = [(float(i % 10 < (9 if i % 2 else 1)), float(i % 2)) for i in range(4000)]
+    p = {r.variable: r.p_value for r in MD.logit(spark.createDataFrame(rows, "y double, x double"), "y", ["x"])[0].collect()}
+    assert 0 < p["x"] < 1e-100
+
+
+def test_perfect_fit_and_constant_column(spark):
+    from bazaar.operators.stats import zscore
+    df = spark.createDataFrame([(2.0 * i + 1, float(i), 3.0) for i in range(30)], "y double, x double, c double")
+    coefs, stats = MD.ols(df, "y", ["x"])
+    assert {r.variable: round(r.coef, 9) for r in coefs.collect()} == {"Intercept": 1.0, "x": 2.0}
+    assert stats.first().r2 == pytest.approx(1.0)
+    assert all(r.c is None and r.x is not None for r in zscore(df, ["x", "c"]).collect())
+
+
+def test_quantiles_never_rank_a_large_band(spark):
+    v = np.concatenate([10.0 ** np.linspace(-30, 30, 300), [-1.7e308, 1.7e308, 5e-324, 0.0]])
+    df = spark.createDataFrame([(float(a),) for a in v] + [(None,), (float("nan"),)], "v double")
+    from bazaar.operators import quantiles as Q
+    probs = [0.05, 0.5, 0.95]
+    got = sorted((r.p, r.quantile) for r in Q.exact_quantiles(df, "v", probs, band_rows=10).collect())
+    assert [q for _, q in got] == pytest.approx(list(np.quantile(v, probs)), rel=1e-12)
+
+
+def test_samples_do_not_depend_on_partitioning(spark):
+    from bazaar.operators.stats import sample_rows
+    df = spark.range(5000).selectExpr("id", "id * 0.1 AS x")
+    seen = {tuple(r.id for r in sample_rows(df.repartition(p), 50, ["id"], seed=3).collect()) for p in (1, 3, 8)}
+    assert len(seen) == 1 and len(next(iter(seen))) == 50
+
+
+def test_density_keeps_its_resolution_beside_an_outlier(spark):
+    from bazaar.operators.stats import density
+    rng = np.random.default_rng(1)
+    v = np.concatenate([rng.normal(size=3000), [400.0]])
+    rows = density(spark.createDataFrame([(float(a),) for a in v], "v double"), "v", grid_size=2000).collect()
+    bw = v.std(ddof=1) * len(v) ** -0.2
+    for r in rows[::97]:
+        exact = np.exp(-0.5 * ((r.x - v) / bw) ** 2).sum() / (len(v) * bw * np.sqrt(2 * np.pi))
+        assert r.density == pytest.approx(exact, abs=2e-4)
