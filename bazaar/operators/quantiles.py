@@ -9,16 +9,18 @@ repeated narrowing:
    its bucket ``_b1`` on a ``BUCKETS``-wide grid over [min, max]; one
    ``groupBy(group, _b1)`` (partial aggregation, output <= groups x BUCKETS)
    locates the bucket holding each rank.
-2. While a band holds more than ``BAND_ROWS`` rows and more than one value,
-   only the rows of that band are histogrammed again.  Bands are
+2. While a band holds more than ``band_rows`` rows and more than one value,
+   only the rows of that band are histogrammed again; its largest value always
+   has a bucket of its own, so every pass narrows it.  Bands are
    de-duplicated, hence disjoint, and always lie inside one ``_b1`` bucket,
    so rows meet them through an equi-join on (group, ``_b1``): a row matches
    at most one band, there is no expansion and no nested-loop join.
-3. A single-valued band is its value; any other band (<= BAND_ROWS rows) is
+3. A single-valued band is its value; any other band (<= band_rows rows) is
    ranked with a window over that band alone.
 
-The narrow (group, value, _b1) projection is materialized once and each pass
-rescans it; pass state is checkpointed into the shared checkpoint folder.
+The narrow (group, value) projection is materialized once, unless the caller has
+stored it, and each pass rescans it; pass state is checkpointed into the shared
+checkpoint folder.  NaN counts as missing.
 Result: ``v0 + (v1 - v0) * frac`` at position (n-1)p (pandas / numpy linear).
 """
 
@@ -32,14 +34,20 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 BUCKETS = 1024
-BAND_ROWS = 100_000
-MAX_PASSES = 12
+BAND_ROWS = 100_000    # default of band_rows: what a single window task may rank
 BAND = ["_lo", "_hi", "_below"]
 
 
-def _bucket(x, lo, hi):
-    return F.when(hi == lo, F.lit(0)).otherwise(
-        F.least(F.floor((x - lo) / (hi - lo) * BUCKETS), F.lit(BUCKETS - 1))).cast("int")
+def _bucket(x, lo, hi, by_magnitude: bool = False):
+    """Bucket of x in [lo, hi], by distance from lo or by the magnitude of this
+    distance.  Passes take turns, so neither outliers nor values spread over
+    hundreds of decades make the search long."""
+    # halves keep the difference of the largest doubles finite
+    share = F.coalesce(F.try_divide(x * 0.5 - lo * 0.5, hi * 0.5 - lo * 0.5), F.lit(0.0))
+    if by_magnitude:
+        share = F.log1p(share * F.lit(1e290)) / F.log1p(F.lit(1e290))
+    return (F.when(hi == lo, F.lit(0)).when(x >= hi, F.lit(BUCKETS - 1))
+            .otherwise(F.least(F.floor(share * (BUCKETS - 1)), F.lit(BUCKETS - 2))).cast("int"))
 
 
 def _locate(hist: DataFrame, keys: list[str], targets: DataFrame, tkeys: list[str]) -> DataFrame:
@@ -51,14 +59,17 @@ def _locate(hist: DataFrame, keys: list[str], targets: DataFrame, tkeys: list[st
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
-                    by: Sequence[str] = ()) -> DataFrame:
-    """-> (*by, p, quantile) for each group of ``by`` and each p in ``probs``."""
+                    by: Sequence[str] = (), band_rows: int | None = None, stored: bool = False) -> DataFrame:
+    """-> (*by, p, quantile) for each group of ``by`` and each p in ``probs``.
+    ``stored``: ``df`` is cheap to read repeatedly and isn't materialized again."""
+    band_rows = band_rows or BAND_ROWS
     user_by = list(by)
     # Without groups, one constant group keeps every join an equi-join.
     by = user_by or ["_g"]
     keys = [F.col(c) for c in user_by] or [F.lit(0).alias("_g")]
     x = F.col("_x")
-    base = cut_lineage(df.select(*keys, F.col(value).cast("double").alias("_x")).filter(x.isNotNull()))
+    base = df.select(*keys, F.col(value).cast("double").alias("_x")).filter(x.isNotNull() & ~F.isnan(x))
+    base = base if stored else cut_lineage(base)
     stats = (base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo0"),
                                               F.max("_x").alias("_hi0")))
     # stats has one row per group: AQE broadcasts it when small.
@@ -79,14 +90,14 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
         *by, "_rank", F.col("_b").alias("_b1"), F.col("_blo").alias("_lo"), F.col("_bhi").alias("_hi"),
         F.col("_start").alias("_below"), F.col("_c").alias("_cnt")))
 
-    is_open = (F.col("_cnt") > BAND_ROWS) & (F.col("_lo") < F.col("_hi"))
+    is_open = (F.col("_cnt") > band_rows) & (F.col("_lo") < F.col("_hi"))
     bkeys = by + ["_b1"] + BAND
-    for _ in range(MAX_PASSES):
-        if state.filter(is_open).limit(1).count() == 0:
-            break
+    by_magnitude = False
+    while state.filter(is_open).limit(1).count():
+        by_magnitude = not by_magnitude
         bands = state.filter(is_open).select(*bkeys).dropDuplicates()
         hist = (data.join(bands, by + ["_b1"]).filter(x.between(F.col("_lo"), F.col("_hi")))
-                .groupBy(*bkeys, _bucket(x, F.col("_lo"), F.col("_hi")).alias("_b"))
+                .groupBy(*bkeys, _bucket(x, F.col("_lo"), F.col("_hi"), by_magnitude).alias("_b"))
                 .agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_blo"), F.max("_x").alias("_bhi"))
                 .withColumn("_base", F.col("_below")))
         moved = _locate(hist, bkeys, state.filter(is_open).select(*bkeys, "_rank"), bkeys).select(
@@ -112,6 +123,6 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
 
 def quantile_columns(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Exact quantiles of several columns in one run -> (variable, p, quantile)."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "variable", "value")
-    return exact_quantiles(long, "value", probs, by=["variable"])
+    narrow = cut_lineage(df.select(*[F.col(c).cast("double").alias(c) for c in columns]))
+    long = narrow.unpivot([], list(columns), "variable", "value")
+    return exact_quantiles(long, "value", probs, by=["variable"], stored=True)

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.distributions import norm_ppf
 from ..functions.exprs import round_half_even
+from ..session import cut_lineage
 from .quantiles import exact_quantiles, quantile_columns
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -36,11 +37,12 @@ def describe_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     """``DataFrame.describe()``: (variable, count, mean, std, min, q25, q50,
     q75, max); std with ddof=1, quartiles exact with linear interpolation."""
     columns = list(columns or select_numeric(df))
-    long = _long(df, columns)
+    # several passes read the columns: the job that makes them runs once
+    long = _long(cut_lineage(df.select(*columns)), columns)
     base = long.groupBy("variable").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
-    q = exact_quantiles(long, "value", QUARTILES, by=["variable"])
+    q = exact_quantiles(long, "value", QUARTILES, by=["variable"], stored=True)
     qw = q.groupBy("variable").pivot("p", list(QUARTILES)).agg(F.first("quantile"))
     qw = qw.select("variable", *[F.col(f"`{p}`").alias(f"q{int(p * 100)}") for p in QUARTILES])
     return base.join(qw, "variable", "left").select(
@@ -76,8 +78,9 @@ def profile_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
         F.count_if(F.col("s").isNull()).alias("n_null"), F.count_distinct("s").alias("n_distinct"),
         F.count_if(F.col("d") == 0).alias("n_zeros"), F.min("d").alias("min"), F.max("d").alias("max"),
         F.avg("d").alias("mean"), F.stddev_samp("d").alias("std"))
-    top = (long.filter(F.col("s").isNotNull()).groupBy("variable", "s").agg(F.count(F.lit(1)).alias("c"))
-           .groupBy("variable").agg(F.max_by(F.struct("s", "c"), F.struct("c", F.col("s"))).alias("t"))
+    # the most frequent value; of equally frequent ones the largest, as a number where it is one
+    top = (long.filter(F.col("s").isNotNull()).groupBy("variable", "s").agg(F.count(F.lit(1)).alias("c"), F.first("d").alias("d"))
+           .groupBy("variable").agg(F.max_by(F.struct("s", "c"), F.struct("c", "d", "s")).alias("t"))
            .select("variable", F.col("t.s").alias("top_value"), F.col("t.c").alias("top_count")))
     out = base.join(top, "variable", "left")
     num_cols = [c for c in columns if c in numeric]
@@ -126,10 +129,10 @@ def scalars(agg: DataFrame) -> dict[str, "F.Column"]:
 
 def zscore(df: DataFrame, columns: Sequence[str], ddof: int = 1) -> DataFrame:
     """Standardize columns: (x - mean) / std with ``ddof`` 0 (scipy) or 1
-    (pandas).  Means and stds are one aggregation used as a scalar subquery."""
+    (pandas); a constant column gives NULL.  Means and stds are one aggregation used as a scalar subquery."""
     sd = F.stddev_pop if ddof == 0 else F.stddev_samp
     st = scalars(df.agg(*[F.avg(c).alias(f"m_{c}") for c in columns], *[sd(c).alias(f"s_{c}") for c in columns]))
-    return df.withColumns({c: (F.col(c) - st[f"m_{c}"]) / st[f"s_{c}"] for c in columns})
+    return df.withColumns({c: F.try_divide(F.col(c) - st[f"m_{c}"], st[f"s_{c}"]) for c in columns})
 
 
 def _bins(x, lo, hi, bins: int):
@@ -156,25 +159,42 @@ def histogram(df: DataFrame, column: str, bins: int = 10, by: str | None = None)
                     F.coalesce(F.col("count"), F.lit(0)).alias("count")))
 
 
+def histograms(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 10) -> DataFrame:
+    """Equal-width histograms of several columns (all numeric ones by default) in
+    one long-form job, every bin emitted: (variable, bin, bin_lo, bin_hi, count)."""
+    columns = list(columns or select_numeric(df))
+    d = _long(cut_lineage(df.select(*columns)), columns).filter(F.col("value").isNotNull())
+    ends = d.groupBy("variable").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    lo, hi = F.col("lo"), F.col("hi")
+    counts = (d.join(ends, "variable").groupBy("variable", _bins(F.col("value"), lo, hi, bins).alias("bin"))
+              .agg(F.count(F.lit(1)).alias("count")))
+    grid = ends.select("variable", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    width = (hi - lo) / bins
+    return grid.join(counts, ["variable", "bin"], "left").select(
+        "variable", "bin", (lo + F.col("bin") * width).alias("bin_lo"), (lo + (F.col("bin") + 1) * width).alias("bin_hi"),
+        F.coalesce(F.col("count"), F.lit(0)).alias("count"))
+
+
 def density(df: DataFrame, column: str, by: str | None = None, grid_size: int = 200,
-            fine_bins: int = 2048, cut: float = 3.0) -> DataFrame:
+            bins_per_bandwidth: int = 8, cut: float = 3.0) -> DataFrame:
     """Gaussian KDE (Scott bandwidth, seaborn grid) -> ([by], x, density).
 
-    Data are pre-binned into ``fine_bins`` equal-width bins (one groupBy), so
-    the kernel sum runs over bins x grid points, both fixed-size, never over
-    rows x grid."""
+    Data are pre-binned (one groupBy) into bins of an eighth of the group's own
+    bandwidth, so the error stays below 1/512 of the kernel's curvature however
+    many rows or outliers there are, and the kernel sum runs over occupied bins x
+    grid points, never over rows x grid.  A group without spread has no density."""
     keys = [by] if by else []
     x = F.col(column).cast("double")
     d = df.select(*keys, x.alias("x")).filter(F.col("x").isNotNull())
     st = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"),
                               F.min("x").alias("lo"), F.max("x").alias("hi"))
     st = st.withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
-    width = (F.col("hi") - F.col("lo")) / fine_bins
+    st = st.filter(F.col("bw") > 0)
+    width = F.col("bw") / F.lit(float(bins_per_bandwidth))
     # The per-group statistics are one row per group; without groups they
     # are a single row attached as scalar subqueries.
     joined = d.join(st, keys, "inner") if keys else _with_scalars(d, st)
-    b = F.least(F.when(width == 0, F.lit(0)).otherwise(F.floor((F.col("x") - F.col("lo")) / width)),
-                F.lit(fine_bins - 1))
+    b = F.floor((F.col("x") - F.col("lo")) / width)
     bins_df = (joined.groupBy(*keys, b.alias("b"), "lo", "hi", "bw", "n")
                .agg(F.count(F.lit(1)).alias("c"))
                .withColumn("center", F.col("lo") + (F.col("b") + 0.5) * width))
@@ -199,7 +219,8 @@ def qq_points(df: DataFrame, column: str, n_points: int = 100) -> DataFrame:
     (p, theoretical, sample, line) with the standardized reference line
     (``line='s'``: mean + std x theoretical).  Sample quantiles are exact."""
     probs = [(k - 0.5) / n_points for k in range(1, n_points + 1)]
-    q = exact_quantiles(df, column, probs)
+    df = cut_lineage(df.select(column))
+    q = exact_quantiles(df, column, probs, stored=True)
     spark = df.sparkSession
     theo = spark.createDataFrame([(p, norm_ppf(p)) for p in probs], "p double, theoretical double")
     st = scalars(df.agg(F.avg(column).alias("m"), F.stddev_samp(column).alias("s")))
@@ -208,9 +229,11 @@ def qq_points(df: DataFrame, column: str, n_points: int = 100) -> DataFrame:
                                      (m + s * F.col("theoretical")).alias("line")))
 
 
-def sample_rows(df: DataFrame, n: int, seed: int = 42, key: Sequence[str] | None = None) -> DataFrame:
-    """n rows without replacement, reproducible for a seed and independent of
-    partitioning: the n smallest xxhash64(key, seed) (a distributed top-n)."""
-    key = list(key or df.columns)
-    h = F.xxhash64(*[F.col(c) for c in key], F.lit(seed))
+def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
+    """n rows without replacement: those with the smallest md5 of their key and
+    the seed (a distributed top-n).  ``key`` names columns that identify a row
+    and don't depend on summation order, so the sample is the same for any
+    partitioning, and on any engine that has md5."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key]
+    h = F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))
     return df.withColumn("_h", h).orderBy("_h", *key).limit(n).drop("_h")
