@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .schemas import SCHEMAS
 
+#: Tables whose fields may hold line breaks.
+MULTI_LINE_KEYS = {"order_reviews"}
+
 
 def table_key(file_name: str) -> str:
     """File name -> catalog key: drop the ``olist_`` prefix, the ``_dataset``
@@ -27,19 +31,30 @@ def list_files(spark: SparkSession, folder: str, suffix: str) -> list[str]:
                   if st.getPath().getName().endswith(suffix))
 
 
-def read_csv(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
-    """Read one marketplace CSV with its explicit schema.  Review texts hold
-    newlines and doubled quotes, hence ``multiLine`` and ``escape='"'``."""
+def read_csv(spark: SparkSession, path: str, key: str | None = None, strict: bool = False) -> DataFrame:
+    """Read one marketplace CSV by the names in its header, typed by the explicit
+    schema.  A missing column fails, further columns are left out.  A value that
+    doesn't parse becomes NULL, or fails when ``strict``.
+
+    Only review texts hold line breaks: that table alone is read with
+    ``multiLine``, which can't split a file, all others in parallel splits."""
     key = key or table_key(path)
-    reader = (spark.read.option("header", True).option("multiLine", True)
-              .option("escape", '"').option("mode", "PERMISSIVE")
+    reader = (spark.read.option("header", True).option("escape", '"')
+              .option("multiLine", key in MULTI_LINE_KEYS)
               .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss"))
-    if key in SCHEMAS:
-        reader = reader.schema(SCHEMAS[key])
-    df = reader.csv(path)
+    if key not in SCHEMAS:
+        return reader.csv(path)
+    wanted = SCHEMAS[key]
+    header = reader.csv(path).columns                       # reads the first line only
+    missing = [f.name for f in wanted.fields if f.name not in header]
+    if missing:
+        raise ValueError(f"{path}: missing columns {missing}")
+    in_file = T.StructType([wanted[c] if c in wanted.names else T.StructField(c, T.StringType()) for c in header])
+    df = reader.schema(in_file).option("mode", "FAILFAST" if strict else "PERMISSIVE").csv(path)
     if key == "geolocation":
         df = with_file_order(df, "geo_seq")
-    return df
+        return df.select(*wanted.names, "geo_seq")
+    return df.select(*wanted.names)
 
 
 def with_file_order(df: DataFrame, name: str) -> DataFrame:
@@ -51,7 +66,7 @@ def with_file_order(df: DataFrame, name: str) -> DataFrame:
                                         F.monotonically_increasing_id().alias("r")))
 
 
-def load_tables(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[str, DataFrame]:
+def load_tables(spark: SparkSession, folder: str, fmt: str = "csv", strict: bool = False) -> dict[str, DataFrame]:
     """Every ``*.csv`` (or ``*.parquet``) file of ``folder`` as a lazy DataFrame,
     keyed by :func:`table_key`.  Nothing is scanned until a job needs it."""
     suffix = "." + fmt
@@ -59,9 +74,10 @@ def load_tables(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[str,
     for path in list_files(spark, folder, suffix):
         key = table_key(path)
         if fmt == "csv":
-            out[key] = read_csv(spark, path, key)
+            out[key] = read_csv(spark, path, key, strict)
         else:
-            out[key] = spark.read.parquet(path)
+            df = spark.read.parquet(path)
+            out[key] = with_file_order(df, "geo_seq") if key == "geolocation" and "geo_seq" not in df.columns else df
     return out
 
 
