@@ -59,7 +59,7 @@ def missing_reviews_by_status(t: Tables) -> DataFrame:
 
 def non_null_counts_by(df: DataFrame, key: str) -> DataFrame:
     """``groupby(key).count()``: non-NULL values of every other column per key."""
-    return df.groupBy(key).agg(*[F.count(c).alias(c) for c in df.columns if c != key])
+    return df.filter(F.col(key).isNotNull()).groupBy(key).agg(*[F.count(c).alias(c) for c in df.columns if c != key])
 
 
 def null_counts(df: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import (STAR_NAMES, clip_lower_zero, days_between, haversine_km,
+from ..functions.exprs import (MONEY_DECIMAL, STAR_NAMES, clip_lower_zero, days_between, haversine_km,
                                money_sum, positive_or_zero, star_flag, whole_days_between)
 
 Tables = dict[str, DataFrame]
@@ -120,33 +120,42 @@ def geo_first(t: Tables, order_col: str = "geo_seq") -> DataFrame:
         *[F.min_by(F.col(cn), F.when(F.col(cn).isNotNull(), seq)).alias(cn) for cn in GEO_VALUE_COLUMNS])
 
 
-def order_distance(t: Tables) -> DataFrame:
-    """order_id, distance_seller_customer: item-weighted mean great-circle
-    distance between the seller's and the customer's zip positions.  Items
-    whose seller or customer has no position are dropped first.
+def order_facts(t: Tables, orders: DataFrame) -> DataFrame:
+    """order_id, number_of_products, number_of_sellers, price, freight_value and
+    distance_seller_customer of ``orders`` from one pass over the items.
 
-    Items are pre-aggregated to (order, seller, n_items) before any join, which
-    collapses hot orders; the geo lookup is one row per zip (bounded by the zip
-    space) so AQE broadcasts it."""
+    Items are first reduced to one row per (order, seller), which collapses hot
+    orders.  The position of the customer joins the orders (one row per order),
+    so the pairs are shuffled once by order; orders that the caller left out drop
+    before any position is looked up.  Distances are weighted by items; a pair
+    without a known position on either side doesn't count."""
     geo = geo_first(t).select(F.col("geolocation_zip_code_prefix").alias("zip"),
-                              F.col("geolocation_lat").alias("lat"),
-                              F.col("geolocation_lng").alias("lng"))
-    sellers = (t["sellers"].select("seller_id", F.col("seller_zip_code_prefix").alias("zip"))
-               .join(geo, "zip", "left")
-               .select("seller_id", "zip", F.col("lat").alias("s_lat"), F.col("lng").alias("s_lng")))
-    customers = (t["customers"].select("customer_id", F.col("customer_zip_code_prefix").alias("zip"))
-                 .join(geo, "zip", "left")
-                 .select("customer_id", F.col("zip").alias("c_zip"),
-                         F.col("lat").alias("c_lat"), F.col("lng").alias("c_lng")))
-    pairs = (t["order_items"].groupBy("order_id", "seller_id").agg(F.count(F.lit(1)).alias("n"))
-             .join(t["orders"].select("order_id", "customer_id"), "order_id")
-             .join(customers, "customer_id")
-             .join(sellers, "seller_id")
-             .na.drop("any", subset=["order_id", "customer_id", "seller_id", "zip", "c_zip",
-                                      "s_lat", "s_lng", "c_lat", "c_lng"]))
-    d = haversine_km("s_lng", "s_lat", "c_lng", "c_lat")
-    return pairs.groupBy("order_id").agg(
-        (F.sum(d * F.col("n")) / F.sum("n")).alias("distance_seller_customer"))
+                              F.col("geolocation_lat").alias("lat"), F.col("geolocation_lng").alias("lng"))
+    sellers = (t["sellers"].select("seller_id", F.col("seller_zip_code_prefix").alias("zip")).join(geo, "zip", "left")
+               .select("seller_id", F.col("lat").alias("s_lat"), F.col("lng").alias("s_lng")))
+    customers = (t["customers"].select("customer_id", F.col("customer_zip_code_prefix").alias("zip")).join(geo, "zip", "left")
+                 .select("customer_id", F.col("lat").alias("c_lat"), F.col("lng").alias("c_lng")))
+    placed = (orders.select("order_id", "customer_id").join(customers, "customer_id", "left")
+              .select("order_id", "c_lat", "c_lng"))
+    pairs = t["order_items"].filter(F.col("order_id").isNotNull()).groupBy("order_id", "seller_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count("order_item_id").alias("items"),
+        F.sum(F.col("price").cast(MONEY_DECIMAL)).alias("p"), F.sum(F.col("freight_value").cast(MONEY_DECIMAL)).alias("f"))
+    d = haversine_km("s_lng", "s_lat", "c_lng", "c_lat")       # NULL without both positions
+    j = pairs.join(placed, "order_id").join(sellers, "seller_id", "left").withColumn("d", d)
+    return j.groupBy("order_id").agg(
+        F.sum("items").alias("number_of_products"), F.count("seller_id").alias("number_of_sellers"),
+        F.coalesce(F.sum("p").cast("double"), F.lit(0.0)).alias("price"),
+        F.coalesce(F.sum("f").cast("double"), F.lit(0.0)).alias("freight_value"),
+        F.try_divide(F.sum(F.col("d") * F.col("n")), F.sum(F.when(F.col("d").isNotNull(), F.col("n"))))
+        .alias("distance_seller_customer"))
+
+
+def order_distance(t: Tables) -> DataFrame:
+    """order_id, distance_seller_customer: item-weighted mean great-circle
+    distance between the seller's and the customer's zip positions; orders
+    without any known distance are left out."""
+    return (order_facts(t, t["orders"]).filter(F.col("distance_seller_customer").isNotNull())
+            .select("order_id", "distance_seller_customer"))
 
 
 def training_data(t: Tables, is_delivered: bool = True, with_distance: bool = False,
@@ -154,16 +163,18 @@ def training_data(t: Tables, is_delivered: bool = True, with_distance: bool = Fa
     """The order training table: wait times ⨝ reviews ⨝ item stats [⨝ distance]
     on order_id (inner), then rows with any NULL are dropped.  One row per
     review, so an order with two reviews appears twice."""
-    parts = [wait_time(t, is_delivered, mode), review_score(t, flags), item_stats(t)]
+    parts = [wait_time(t, is_delivered, mode), review_score(t, flags)]
     if with_distance:
-        parts.append(order_distance(t))
+        parts.append(order_facts(t, filter_delivered(t["orders"]) if is_delivered else t["orders"]))
+    else:
+        parts.append(item_stats(t))
     return reduce(lambda a, b: a.join(b, "order_id"), parts).na.drop("any")
 
 
 def product_details(t: Tables) -> DataFrame:
     """Per order: Σ(weight × count) over its products, max length/height/width.
     Sums skip NULL weights (0 for all-NULL, like pandas); max of all-NULL stays NULL."""
-    counts = (t["order_items"].groupBy("order_id", "product_id")
+    counts = (t["order_items"].filter(F.col("order_id").isNotNull()).groupBy("order_id", "product_id")
               .agg(F.count("order_item_id").alias("order_item_count")))
     prods = t["products"].select("product_id", "product_weight_g", "product_length_cm",
                                  "product_height_cm", "product_width_cm")

@@ -13,8 +13,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import MICROS_PER_DAY, SALES_CUT, micros_between, money_sum, review_cost
+from ..functions.exprs import MICROS_PER_DAY, SALES_CUT, micros_between, money_sum
+from ..session import cut_lineage
 from .orders import filter_delivered
+from .quantiles import exact_quantiles
+from .sellers import reviews_per_order
 
 Tables = dict[str, DataFrame]
 
@@ -36,7 +39,7 @@ def product_features(t: Tables) -> DataFrame:
 
 
 def _order_products(t: Tables) -> DataFrame:
-    return t["order_items"].select("order_id", "product_id").dropDuplicates()
+    return t["order_items"].select("order_id", "product_id").na.drop().dropDuplicates()
 
 
 def product_price(t: Tables) -> DataFrame:
@@ -54,18 +57,10 @@ def product_wait_time(t: Tables) -> DataFrame:
             .agg((F.avg("us") / F.lit(MICROS_PER_DAY)).alias("wait_time")))
 
 
-def _order_review_stats(t: Tables) -> DataFrame:
-    s = F.col("review_score")
-    return t["order_reviews"].groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count(s).alias("n_scored"), F.sum(s).alias("sum_score"),
-        F.count(F.when(s == 1, 1)).alias("n1"), F.count(F.when(s == 5, 1)).alias("n5"),
-        F.sum(review_cost(s)).alias("cost"))
-
-
 def product_review_score(t: Tables) -> DataFrame:
     """product_id, share_of_one_stars, share_of_five_stars, review_score over
     the reviews of the (distinct) orders containing the product."""
-    g = (_order_products(t).join(_order_review_stats(t), "order_id").groupBy("product_id")
+    g = (_order_products(t).join(reviews_per_order(t), "order_id").groupBy("product_id")
          .agg(F.sum("n_rows").alias("n_rows"), F.sum("n_scored").alias("n_scored"),
               F.sum("sum_score").alias("sum_score"), F.sum("n1").alias("n1"), F.sum("n5").alias("n5")))
     return g.select("product_id",
@@ -109,16 +104,30 @@ ROLLUP_COLUMNS = ["product_name_length", "product_description_length", "product_
                   "n_orders", "quantity", "sales"]
 
 
+def _category_medians(d: DataFrame) -> DataFrame:
+    """Medians by distributed selection, so a category that holds most products
+    isn't gathered in one buffer."""
+    d = cut_lineage(d.select("category", *ROLLUP_COLUMNS).filter(F.col("category").isNotNull()))
+    cols = [c for c in ROLLUP_COLUMNS if c != "quantity"]
+    long = d.select("category", *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+        ["category"], cols, "variable", "value")
+    mid = exact_quantiles(long, "value", [0.5], by=["category", "variable"], stored=True)
+    wide = mid.groupBy("category").pivot("variable", cols).agg(F.first("quantile"))
+    total = d.groupBy("category").agg(F.sum("quantity").alias("quantity"))
+    return total.join(wide, "category", "left").select("category", *ROLLUP_COLUMNS)
+
+
 def category_rollup(t: Tables, agg: str = "mean") -> DataFrame:
     """One row per category: ``quantity`` summed, every other column averaged
     (``agg='mean'``) or its median (``agg='median'``, exact, interpolated)."""
     if agg not in ("mean", "median"):
         raise ValueError("agg must be 'mean' or 'median'")
+    if agg == "median":
+        return _category_medians(training_data(t))
+
     def one(c: str):
         if c == "quantity":
             return F.sum(c).alias(c)
-        if agg == "median":
-            return F.median(c).alias(c)
         if c == "sales":  # money: exact mean
             return F.try_divide(money_sum(c), F.count(c)).alias(c)
         return F.avg(c).alias(c)
@@ -129,7 +138,7 @@ def category_rollup(t: Tables, agg: str = "mean") -> DataFrame:
 def product_pnl(t: Tables) -> DataFrame:
     """product_id, revenue (10% of sales), review_cost (reviews of the distinct
     orders containing the product), profits.  Products without reviews cost 0."""
-    cost = (_order_products(t).join(_order_review_stats(t).select("order_id", "cost"), "order_id")
+    cost = (_order_products(t).join(reviews_per_order(t).select("order_id", "cost"), "order_id")
             .groupBy("product_id").agg(F.sum("cost").alias("review_cost")))
     j = product_sales(t).join(cost, "product_id", "left")
     rc = F.coalesce(F.col("review_cost"), F.lit(0)).cast("double")

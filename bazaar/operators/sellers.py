@@ -9,8 +9,6 @@ item x review fan-out; the weighted sums give the same numbers exactly.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +28,8 @@ def seller_delay_wait(t: Tables) -> DataFrame:
     """seller_id, delay_to_carrier, wait_time over the items of delivered
     orders.  The carrier delay is averaged first and clipped at 0 afterwards
     (an all-NULL mean becomes 0)."""
-    ship = t["order_items"].select("order_id", "seller_id", "shipping_limit_date").join(
+    items = t["order_items"].filter(F.col("seller_id").isNotNull())
+    ship = items.select("order_id", "seller_id", "shipping_limit_date").join(
         filter_delivered(t["orders"]).select("order_id", "order_delivered_carrier_date",
                                              "order_delivered_customer_date", "order_purchase_timestamp"),
         "order_id")
@@ -46,7 +45,7 @@ def seller_active_dates(t: Tables) -> DataFrame:
     approval dates of the seller's orders (any status).  De-duplicating
     (order, seller) first would not change min/max, so it is skipped."""
     appr = t["orders"].select("order_id", "order_approved_at").na.drop()
-    g = (appr.join(t["order_items"].select("order_id", "seller_id"), "order_id")
+    g = (appr.join(t["order_items"].select("order_id", "seller_id").na.drop(), "order_id")
          .groupBy("seller_id").agg(F.min("order_approved_at").alias("date_first_sale"),
                                    F.max("order_approved_at").alias("date_last_sale")))
     return g.withColumn("months_on_olist", months_between_avg("date_first_sale", "date_last_sale"))
@@ -79,7 +78,7 @@ def reviews_per_order(t: Tables) -> DataFrame:
 
 def _order_seller_items(t: Tables, dedupe: bool) -> DataFrame:
     """(order_id, seller_id, w): w = number of items, or 1 when de-duplicated."""
-    items = t["order_items"].select("order_id", "seller_id")
+    items = t["order_items"].select("order_id", "seller_id").na.drop()
     if dedupe:
         return items.dropDuplicates().withColumn("w", F.lit(1).cast("long"))
     return items.groupBy("order_id", "seller_id").agg(F.count(F.lit(1)).alias("w"))
