@@ -57,7 +57,7 @@ def q_missing_by_status(spark, sf_dir):
 SELECT order_id, count(review_id) AS review_id, count(review_score) AS review_score,
        count(review_comment_title) AS review_comment_title, count(review_comment_message) AS review_comment_message,
        count(review_creation_date) AS review_creation_date, count(review_answer_timestamp) AS review_answer_timestamp
-FROM ol_order_reviews GROUP BY order_id""")
+FROM ol_order_reviews WHERE order_id IS NOT NULL GROUP BY order_id""")
 def q_reviews_per_order(spark, sf_dir):
     return M.non_null_counts_by(_cat(spark, sf_dir)["order_reviews"], "order_id")
 
@@ -78,6 +78,22 @@ def q_distinct_counts(spark, sf_dir):
     return M.distinct_counts(_cat(spark, sf_dir)["orders"])
 
 
+_REVIEW_COLS = ["review_id", "order_id", "review_score", "review_comment_title", "review_comment_message",
+                "review_creation_date", "review_answer_timestamp"]
+
+
+@register("null_counts_reviews", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS n_null FROM ol_order_reviews" for c in _REVIEW_COLS))
+def q_null_counts_reviews(spark, sf_dir):
+    return M.null_counts(_cat(spark, sf_dir)["order_reviews"])
+
+
+@register("distinct_counts_reviews", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_distinct FROM ol_order_reviews" for c in _REVIEW_COLS))
+def q_distinct_counts_reviews(spark, sf_dir):
+    return M.distinct_counts(_cat(spark, sf_dir)["order_reviews"])
+
+
 ORC = """ol_orders o JOIN ol_order_reviews r ON o.order_id = r.order_id
 JOIN ol_customers c ON c.customer_id = o.customer_id"""
 

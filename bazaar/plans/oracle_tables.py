@@ -28,14 +28,15 @@ ol_orders AS (
   FROM ol_orders_x
 ),
 ol_order_items AS (
-  SELECT l_orderkey AS order_id, l_linenumber AS order_item_id, l_partkey AS product_id,
-         l_suppkey AS seller_id, l_shipdate AS shipping_limit_date,
+  SELECT CASE WHEN l_orderkey % 229 <> 9 THEN l_orderkey END AS order_id, l_linenumber AS order_item_id,
+         CASE WHEN l_orderkey % 211 <> 5 THEN l_partkey END AS product_id,
+         CASE WHEN l_orderkey % 223 <> 7 THEN l_suppkey END AS seller_id, l_shipdate AS shipping_limit_date,
          l_extendedprice / 160 AS price, l_extendedprice * l_tax / 160 AS freight_value
   FROM lineitem
 ),
 ol_order_reviews AS (
-  SELECT 2 * k AS review_id, k AS order_id,
-         CAST(CASE WHEN coalesce(order_delivered_customer_date > order_estimated_delivery_date, false)
+  SELECT 2 * k AS review_id, CASE WHEN k % 233 <> 11 THEN k END AS order_id,
+         CAST(CASE WHEN coalesce(order_delivered_customer_date > order_estimated_delivery_date, false) AND k % 7 <> 0
                    THEN greatest(1, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) - 2)
                    ELSE CAST(substr(o_orderpriority, 1, 1) AS INTEGER) END AS INTEGER) AS review_score,
          CASE WHEN k % 3 <> 0 THEN o_orderpriority END AS review_comment_title,
@@ -44,7 +45,7 @@ ol_order_reviews AS (
          o_orderdate + INTERVAL 40 DAY + to_hours(CAST(k % 72 AS BIGINT)) AS review_answer_timestamp
   FROM ol_orders_x WHERE k % 50 <> 0
   UNION ALL
-  SELECT 2 * k + 1, k, CAST(1 + k % 5 AS INTEGER),
+  SELECT 2 * k + 1, CASE WHEN k % 233 <> 11 THEN k END, CAST(1 + k % 5 AS INTEGER),
          CASE WHEN k % 3 <> 0 THEN o_orderpriority END,
          CASE WHEN k % 4 <> 0 THEN 'review ' || CAST(k AS VARCHAR) END,
          o_orderdate + INTERVAL 40 DAY,

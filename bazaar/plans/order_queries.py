@@ -98,7 +98,7 @@ SELECT order_id,
        max(product_height_cm) AS product_height_cm_max,
        max(product_width_cm) AS product_width_cm_max
 FROM (SELECT order_id, product_id, count(order_item_id) AS order_item_count
-      FROM ol_order_items GROUP BY order_id, product_id) c
+      FROM ol_order_items WHERE order_id IS NOT NULL GROUP BY order_id, product_id) c
 JOIN ol_products p USING (product_id)
 GROUP BY order_id"""
 
@@ -212,21 +212,21 @@ def q_order_product_details(spark, sf_dir):
     return stable_doubles(O.product_details(_cat(spark, sf_dir)))
 
 
+DETAIL_COLS = TRAIN_COLS + ["distance_seller_customer", "product_weight_g_sum", "product_length_cm_max",
+                            "product_height_cm_max", "product_width_cm_max"]
+
+
+def details_raw_sql() -> str:
+    """Unrounded training rows left-joined with product details, complete rows only."""
+    notnull = " AND ".join(f"{c} IS NOT NULL" for c in DETAIL_COLS)
+    return f"""SELECT {', '.join(DETAIL_COLS)} FROM (
+  SELECT * FROM ({train_raw_sql(True)}) t LEFT JOIN ({DETAILS_SQL}) p USING (order_id)) x WHERE {notnull}"""
+
+
 def _details_training_sql() -> str:
-    cols = TRAIN_COLS + ["distance_seller_customer", "product_weight_g_sum", "product_length_cm_max",
-                         "product_height_cm_max", "product_width_cm_max"]
-    dbl = TRAIN_DOUBLES | set(cols[-4:])
-    notnull = " AND ".join(f"{c} IS NOT NULL" for c in cols)
-    sel = ", ".join(f"{r6(c)} AS {c}" if c in dbl else c for c in cols)
-    inner = _train_sql(True).replace("SELECT ", "SELECT ", 1)
-    # unrounded training rows, then the left join with details and dropna
-    raw = f"""SELECT * FROM ({WAIT_SQL}) w JOIN ({FLAGS_SQL}) r USING (order_id)
-  JOIN ({STATS_SQL}) s USING (order_id) JOIN ({DISTANCE_SQL}) d USING (order_id)"""
-    del inner
-    tnn = " AND ".join(f"{c} IS NOT NULL" for c in TRAIN_COLS + ["distance_seller_customer"])
-    return f"""SELECT {sel} FROM (
-  SELECT * FROM (SELECT * FROM ({raw}) t0 WHERE {tnn}) t LEFT JOIN ({DETAILS_SQL}) p USING (order_id)
-) x WHERE {notnull}"""
+    dbl = TRAIN_DOUBLES | set(DETAIL_COLS[-4:])
+    sel = ", ".join(f"{r6(c)} AS {c}" if c in dbl else c for c in DETAIL_COLS)
+    return f"SELECT {sel} FROM ({details_raw_sql()}) x"
 
 
 @register("order_details_training", _details_training_sql())

@@ -25,7 +25,7 @@ SELECT seller_id, CASE WHEN d > 0 THEN d ELSE 0.0{D} END AS delay_to_carrier, wa
   SELECT i.seller_id, {mdays('i.shipping_limit_date', 'o.order_delivered_carrier_date')} AS d,
          {mdays('o.order_purchase_timestamp', 'o.order_delivered_customer_date')} AS wait_time
   FROM ol_order_items i JOIN ol_orders o ON i.order_id = o.order_id
-  WHERE o.order_status = 'delivered' GROUP BY i.seller_id) x"""
+  WHERE o.order_status = 'delivered' AND i.seller_id IS NOT NULL GROUP BY i.seller_id) x"""
 
 DATES_SQL = f"""
 SELECT seller_id, date_first_sale, date_last_sale,
@@ -33,7 +33,7 @@ SELECT seller_id, date_first_sale, date_last_sale,
          AS months_on_olist
 FROM (SELECT i.seller_id, min(o.order_approved_at) AS date_first_sale, max(o.order_approved_at) AS date_last_sale
       FROM ol_orders o JOIN ol_order_items i ON o.order_id = i.order_id
-      WHERE o.order_approved_at IS NOT NULL AND o.order_id IS NOT NULL GROUP BY i.seller_id) x"""
+      WHERE o.order_approved_at IS NOT NULL AND o.order_id IS NOT NULL AND i.seller_id IS NOT NULL GROUP BY i.seller_id) x"""
 
 QUANTITY_SQL = f"""
 SELECT seller_id, count(DISTINCT order_id) AS n_orders, count(order_id) AS quantity,
@@ -49,7 +49,7 @@ SELECT i.seller_id,
        sum(CASE WHEN r.review_score = 5 THEN 1 ELSE 0 END){D} / count(r.review_score) AS share_of_five_stars,
        sum(CASE WHEN r.review_score = 1 THEN 1 ELSE 0 END){D} / count(r.review_score) AS share_of_one_stars,
        {mean('r.review_score')} AS review_score
-FROM ol_order_items i JOIN ol_order_reviews r ON i.order_id = r.order_id GROUP BY i.seller_id"""
+FROM ol_order_items i JOIN ol_order_reviews r ON i.order_id = r.order_id WHERE i.seller_id IS NOT NULL GROUP BY i.seller_id"""
 
 COST_CASE = "CASE r.review_score WHEN 1 THEN 100 WHEN 2 THEN 50 WHEN 3 THEN 40 ELSE 0 END"
 
@@ -60,7 +60,7 @@ SELECT c.seller_id, {npround(f'd.months_on_olist * 80.0{D} + s.sales * 0.1{D}',
 FROM (SELECT i.seller_id, CAST(sum({COST_CASE}) AS BIGINT) AS review_cost
       FROM (SELECT order_id FROM ol_orders WHERE order_id IS NOT NULL) o
       JOIN ol_order_reviews r ON o.order_id = r.order_id
-      JOIN ol_order_items i ON i.order_id = o.order_id GROUP BY i.seller_id) c
+      JOIN ol_order_items i ON i.order_id = o.order_id WHERE i.seller_id IS NOT NULL GROUP BY i.seller_id) c
 LEFT JOIN ({DATES_SQL}) d ON c.seller_id = d.seller_id
 LEFT JOIN ({SALES_SQL}) s ON c.seller_id = s.seller_id"""
 
@@ -75,7 +75,7 @@ SELECT seller_id,
        CAST(sum(CASE WHEN review_score = 4 THEN 1 ELSE 0 END) AS BIGINT) AS count_of_four_star,
        CAST(sum(CASE WHEN review_score = 5 THEN 1 ELSE 0 END) AS BIGINT) AS count_of_five_star
 FROM (SELECT DISTINCT order_id, seller_id FROM ol_order_items) os
-JOIN ol_order_reviews r USING (order_id) GROUP BY seller_id"""
+JOIN ol_order_reviews r USING (order_id) WHERE seller_id IS NOT NULL GROUP BY seller_id"""
 
 SELLER_TRAIN_COLS = ["seller_id", "seller_city", "seller_state", "delay_to_carrier", "wait_time",
                      "date_first_sale", "date_last_sale", "months_on_olist", "n_orders", "quantity",
@@ -126,7 +126,7 @@ def q_seller_review_counts(spark, sf_dir):
 @register("seller_review_cost", f"""
 SELECT i.seller_id, CAST(sum({COST_CASE}) AS BIGINT) AS review_cost
 FROM ol_orders o JOIN ol_order_reviews r ON o.order_id = r.order_id
-JOIN ol_order_items i ON i.order_id = o.order_id WHERE o.order_id IS NOT NULL GROUP BY i.seller_id""")
+JOIN ol_order_items i ON i.order_id = o.order_id WHERE o.order_id IS NOT NULL AND i.seller_id IS NOT NULL GROUP BY i.seller_id""")
 def q_seller_review_cost(spark, sf_dir):
     return S.seller_review_cost(_cat(spark, sf_dir))
 
@@ -135,7 +135,7 @@ def q_seller_review_cost(spark, sf_dir):
 SELECT os.seller_id, CAST(sum({COST_CASE}) AS BIGINT) AS review_cost
 FROM (SELECT DISTINCT order_id, seller_id FROM ol_order_items) os
 JOIN ol_orders o ON o.order_id = os.order_id JOIN ol_order_reviews r ON r.order_id = os.order_id
-GROUP BY os.seller_id""")
+WHERE os.seller_id IS NOT NULL GROUP BY os.seller_id""")
 def q_seller_review_cost_dedup(spark, sf_dir):
     return S.seller_review_cost(_cat(spark, sf_dir), dedupe=True)
 
@@ -190,7 +190,7 @@ FROM ol_order_items WHERE product_id IS NOT NULL GROUP BY product_id"""
 PWAIT_SQL = f"""
 SELECT op.product_id, {mdays('o.order_purchase_timestamp', 'o.order_delivered_customer_date')} AS wait_time
 FROM (SELECT DISTINCT order_id, product_id FROM ol_order_items) op
-JOIN ol_orders o ON o.order_id = op.order_id WHERE o.order_status = 'delivered' GROUP BY op.product_id"""
+JOIN ol_orders o ON o.order_id = op.order_id WHERE o.order_status = 'delivered' AND op.product_id IS NOT NULL GROUP BY op.product_id"""
 
 PREVIEW_SQL = f"""
 SELECT op.product_id,
@@ -198,7 +198,7 @@ SELECT op.product_id,
        sum(CASE WHEN r.review_score = 5 THEN 1 ELSE 0 END){D} / count(*) AS share_of_five_stars,
        {mean('r.review_score')} AS review_score
 FROM (SELECT DISTINCT order_id, product_id FROM ol_order_items) op
-JOIN ol_order_reviews r ON r.order_id = op.order_id GROUP BY op.product_id"""
+JOIN ol_order_reviews r ON r.order_id = op.order_id WHERE op.product_id IS NOT NULL GROUP BY op.product_id"""
 
 PQTY_SQL = """SELECT product_id, count(DISTINCT order_id) AS n_orders, count(order_id) AS quantity
 FROM ol_order_items WHERE product_id IS NOT NULL GROUP BY product_id"""
@@ -287,6 +287,6 @@ SELECT s.product_id, {r6('s.sales * 0.1::DOUBLE')} AS revenue,
 FROM ({PSALES_SQL}) s LEFT JOIN (
   SELECT op.product_id, sum({COST_CASE}) AS review_cost
   FROM (SELECT DISTINCT order_id, product_id FROM ol_order_items) op
-  JOIN ol_order_reviews r ON r.order_id = op.order_id GROUP BY op.product_id) c ON s.product_id = c.product_id""")
+  JOIN ol_order_reviews r ON r.order_id = op.order_id WHERE op.product_id IS NOT NULL GROUP BY op.product_id) c ON s.product_id = c.product_id""")
 def q_product_pnl(spark, sf_dir):
     return stable_doubles(P.product_pnl(_cat(spark, sf_dir)))

@@ -3,16 +3,16 @@ no exchange that funnels unaggregated rows into one partition."""
 
 import pytest
 
-import __spark_entry__ as E
+from bazaar.plans.all_queries import REGISTRY
 
 SF = "/root/testdata/sf0.001"
-HEADLINE = ["order_training_data_with_distance", "seller_training_data", "product_training_data",
+HEADLINE = ["order_training_data_with_distance", "order_distance", "order_details_training", "seller_training_data", "product_training_data",
             "weekly_delay_analysis", "nps_by_state", "category_rollup_mean", "seller_economics"]
 
 
 @pytest.mark.parametrize("name", HEADLINE)
 def test_plan_is_jvm_side_and_distributed(spark, name):
-    df = E.queries()[name](spark, SF)
+    df = REGISTRY[name].fn(spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan and "PythonUDF" not in plan
     # A single-partition exchange may only carry partial aggregates (one row
@@ -24,7 +24,18 @@ def test_plan_is_jvm_side_and_distributed(spark, name):
 
 
 def test_parquet_scans_are_pruned(spark):
-    df = E.queries()["order_training_data"](spark, SF)
+    df = REGISTRY["order_training_data"].fn(spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     # lineitem is read with only the columns the item aggregates need
     assert "l_partkey" not in plan and "l_shipdate" not in plan
+
+
+def test_items_are_scanned_once(spark):
+    df = REGISTRY["order_training_data_with_distance"].fn(spark, SF)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("l_extendedprice" in line for line in plan.split("\n") if "Relation [" in line) == 1
+
+
+def test_category_medians_use_no_group_buffers(spark):
+    plan = REGISTRY["category_rollup_median"].fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in plan and "median" not in plan.split("Scan")[0]
