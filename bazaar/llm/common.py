@@ -15,7 +15,7 @@ from bazaar.session import ensure_checkpoint_dir
 
 #: Bytes of text handled by one vectorised numpy step (not a cap: longer texts
 #: form a step of their own).
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 19
 
 
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
