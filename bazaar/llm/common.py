@@ -64,14 +64,19 @@ def text_steps(column: pa.Array, max_bytes: int = STEP_BYTES
 ROW = "__bazaar_row_number"
 
 
+def with_row(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number per row (its own, if it was stored with one).  The
+    numbers of one reading; another may split files differently."""
+    return docs if ROW in docs.columns else docs.withColumn(ROW, F.monotonically_increasing_id())
+
+
 def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a number per row.  A stored table gives the same numbers at
-    every reading, so verdicts can be joined back even when ids are null or
-    repeated; callers pass stored tables."""
-    return docs.withColumn(ROW, F.monotonically_increasing_id())
+    """A stored copy of ``docs`` with a number per row.  Numbers are fixed when they
+    are written, so jobs that read the copy again, on other executors or in other
+    splits, mean the same rows even when ids are null or repeated."""
+    return materialize(with_row(docs), "numbered")
 
 
-def without_rows(docs: DataFrame, lost: DataFrame) -> DataFrame:
-    """``docs`` without the rows numbered in column ``row`` of ``lost``."""
-    lost = lost.select(F.col("row").alias(ROW))
-    return numbered(docs).join(lost, ROW, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+def without_rows(stored: DataFrame, lost: DataFrame) -> DataFrame:
+    """A ``numbered`` table without the rows in column ``row`` of ``lost``."""
+    return stored.join(lost.select(F.col("row").alias(ROW)), ROW, "left_anti").drop(ROW)

@@ -152,9 +152,9 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """One row per input row: (row, id, keep_id, group_size, kept, text_sha256),
-    ``row`` being the row's ``monotonically_increasing_id`` in ``docs``."""
-    base = common.numbered(docs).select(F.col(common.ROW).alias("key"), F.col(id_col).cast("long").alias("id"),
+    """One row per input row: (row, id, keep_id, group_size, kept, text_sha256);
+    ``row`` is the row's number (see ``common.numbered``)."""
+    base = common.with_row(docs).select(F.col(common.ROW).alias("key"), F.col(id_col).cast("long").alias("id"),
                                F.col(text_col).alias("text"))
     spill = common.materialize(base.mapInArrow(_combine, ROWS), "grace-0")
     todo = spill.filter("content IS NOT NULL").select("sha", "leader", "content", "n", "top_id", "top_key")
@@ -184,6 +184,6 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that lose; all columns stay.  ``docs`` is read
-    twice and must give the same rows in the same partitions, as a table does."""
-    return common.without_rows(docs, duplicate_groups(docs, id_col, text_col).filter("NOT kept"))
+    """``docs`` without the rows that lose; all columns stay."""
+    stored = common.numbered(docs)
+    return common.without_rows(stored, duplicate_groups(stored, id_col, text_col).filter("NOT kept"))

@@ -155,7 +155,7 @@ def _arrays(batch: pa.RecordBatch | pa.Table) -> dict[str, np.ndarray]:
 
 def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row, id, counts...) of every row of ``docs``, stored in the shared folder."""
-    base = common.numbered(docs).select(common.ROW, F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    base = common.with_row(docs).select(common.ROW, F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return common.materialize(base.mapInArrow(_count, "row long, id long, " + ", ".join(f"{c} long" for c in _COUNTS)),
                               "rule-statistics")
 
@@ -191,4 +191,5 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without rejected rows; all columns stay."""
-    return common.without_rows(docs, quality_rules(docs, labels, id_col, text_col).filter("NOT kept"))
+    stored = common.numbered(docs)
+    return common.without_rows(stored, quality_rules(stored, labels, id_col, text_col).filter("NOT kept"))

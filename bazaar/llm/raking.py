@@ -64,7 +64,7 @@ def _profile(topics: int):
 
 def profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", topics: int = TOPICS) -> DataFrame:
     """(row, id, source, lang, n_tokens, topic) of every row, stored."""
-    base = common.numbered(docs).select(
+    base = common.with_row(docs).select(
         F.col(common.ROW).alias("row"), F.col(id_col).cast("long").alias("id"),
         F.coalesce("source", F.lit("")).alias("source"), F.coalesce("lang", F.lit("")).alias("lang"),
         F.col(text_col).alias("text"))
@@ -150,4 +150,5 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", targets
 
 def sample_mix(docs: DataFrame, **kwargs) -> DataFrame:
     """The kept rows of ``docs`` with all their columns."""
-    return common.without_rows(docs, mix(docs, **kwargs).filter("NOT kept"))
+    stored = common.numbered(docs)
+    return common.without_rows(stored, mix(stored, **kwargs).filter("NOT kept"))
