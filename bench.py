@@ -35,6 +35,8 @@ HEADLINE = [
     "describe_training",
     "corr_matrix_training",
     "ols_review_multivariate",
+    "logit_one_star",
+    "coef_compare_linear_logit",
 ]
 
 
