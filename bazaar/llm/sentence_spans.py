@@ -3,8 +3,12 @@
 A sentence ends after ``.``, ``!`` or ``?`` before white space, or at a line
 break.  Every run of three consecutive sentences with ten words or more is
 hashed (128 bits), and likewise runs of one or two sentences that already hold
-25 words.  Runs are joined globally by hash: the first occurrence, by (id, place),
-stays; sentences covered by any other occurrence are removed.
+25 words.  Where three sentences hold fewer words, the run grows: the shortest run
+from each sentence, and the shortest up to each sentence, that reaches ten words is
+hashed too (a sentence has a word at least, so it has at most ten sentences).  With
+both, every sentence of a repeated passage of three sentences and ten words lies in
+a hashed run inside the passage.  Runs are joined globally by hash: the first
+occurrence, by (id, place), stays; sentences covered by any other are removed.
 
 Occurrences after the first of a map task's chunk are known to repeat and aren't
 compared any further, so a run that a third of the corpus shares reaches the
@@ -67,12 +71,17 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     first_of = np.searchsorted(d, d)
     out: dict[str, list] = {k: [] for k in ("h1", "h2", "d", "first", "n")}
     h1 = h2 = np.zeros(len(d), np.uint64)
-    for n in range(1, SENTENCES + 1):
+    size = w1 - w0
+    for n in range(1, max(SENTENCES, WORDS) + 1):
         m = max(len(d) - n + 1, 0)
         h1 = words.mix(h1[:m] * np.uint64(0xD6E8FEB86659FD93) + base[n - 1:n - 1 + m])
         h2 = words.mix(h2[:m] * np.uint64(0xA0761D6478BD642F) + words.mix(base[n - 1:n - 1 + m] + np.uint64(n)))
         count = w1[n - 1:n - 1 + m] - w0[:m]
-        ok = (d[:m] == d[n - 1:n - 1 + m]) & ((count >= LONG_RUN_WORDS) | ((n == SENTENCES) & (count >= WORDS)))
+        if n <= SENTENCES:
+            ok = (count >= LONG_RUN_WORDS) | ((n == SENTENCES) & (count >= WORDS))
+        else:                      # one sentence less, at the end or at the beginning, is too short
+            ok = (count >= WORDS) & (count - np.maximum(size[:m], size[n - 1:n - 1 + m]) < WORDS)
+        ok &= d[:m] == d[n - 1:n - 1 + m]
         at = np.flatnonzero(ok)
         for k, v in (("h1", h1[at]), ("h2", h2[at]), ("d", d[at]), ("first", at - first_of[at]), ("n", np.full(len(at), n))):
             out[k].append(v)

@@ -161,6 +161,23 @@ def test_sentence_spans_in_small_chunks_and_empty(docs, empty, monkeypatch):
     assert sentence_spans.remove_repeated_spans(empty).count() == 0
 
 
+def test_short_sentences_grow_into_runs(spark):
+    rng = random.Random(8)
+
+    def one_word(n):
+        return " ".join("".join(rng.choice("ABCDEFGH") for _ in range(9)) + "!!" for _ in range(n))
+
+    passage, whole, tail = one_word(60), one_word(12), "one two three four five six seven eight nine ten. Yes. No. So. Oh. Ah."
+    texts = [passage, one_word(30) + " " + passage + " " + one_word(30), whole, whole, one_word(9), "a b c d\ne f\ng\nh\ni j", tail, tail]
+    texts += [texts[4], texts[5]]
+    got = {r.doc_id: r for r in sentence_spans.remove_repeated_spans(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got[1].kept_text == texts[1].replace(passage + " ", "")
+    assert [tuple(s) for s in got[1].removed_spans] == [(30, 60)]
+    assert [got[k].kept_text for k in (3, 7, 9)] == ["", "", ""]
+    assert all(got[k].kept_text == texts[k] for k in (0, 2, 4, 5, 6, 8))     # nine words are below the minimum
+
+
 # -- suffixes --------------------------------------------------------------------------
 
 def test_matching_statistics():
