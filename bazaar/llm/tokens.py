@@ -5,12 +5,15 @@ Texts are therefore cut at places that are borders whatever stands around them
 (a single space between two other characters, a single line break, the end of a
 run of letters before ASCII punctuation), equal pieces of a batch are encoded
 once, and a bounded memo keeps pieces for the next batches.  Texts with Unicode
-white space are encoded whole.  The ids are those of encoding every whole text.
+white space, or with the literal of a token that the tokenizer adds to its
+vocabulary (such as ``<|endoftext|>``, which it takes before it cuts pieces), are
+encoded whole.  The ids are those of encoding every whole text.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 
@@ -57,6 +60,12 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
+def holders(raw: bytes, offsets: np.ndarray, literals: list[bytes]) -> np.ndarray:
+    """Documents in which one of ``literals`` begins."""
+    at = [m.start() for x in literals for m in re.finditer(re.escape(x), raw)]
+    return np.unique(np.searchsorted(offsets, np.array(at, np.int64), "right") - 1)
+
+
 def odd_documents(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Documents with white space beyond ASCII."""
     at = np.flatnonzero(_LEADS[data])
@@ -79,6 +88,7 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size()
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.fresh: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -103,7 +113,8 @@ class Encoder:
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all documents as uint32, document offsets into them)."""
         n_docs = len(offsets) - 1
-        odd = odd_documents(data, offsets)
+        raw = data.tobytes()
+        odd = np.union1d(odd_documents(data, offsets), holders(raw, offsets, self.added))
         starts = piece_starts(data, offsets)
         ends = np.append(starts[1:], len(data))
         doc = np.searchsorted(offsets, starts, "right") - 1
@@ -112,7 +123,6 @@ class Encoder:
             starts, ends, doc = starts[plain], ends[plain], doc[plain]
         h = words.hash_spans(data, starts, ends)
         _, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-        raw = data.tobytes()
         found = self._pieces([raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())])
         pool = np.frombuffer(b"".join(found), "<u4")
         length = np.array([len(x) for x in found], np.int64) // 4

@@ -116,6 +116,18 @@ def test_memo_encodes_like_the_library(rows, ids, monkeypatch):
         assert [flat[at[k]:at[k + 1]].tolist() for k in range(len(texts))] == ids
 
 
+def test_added_tokens_in_texts_encode_like_the_library():
+    t = "<|endoftext|>"
+    texts = [f"abc{t} def", t, f"{t}{t}x.{t}!", f"a {t} b\n{t}", "plain text|>, <|endoftext", f"it's({t})é{t}\u00a0z", "", t[:7], t[7:], f"end{t}"]
+    encoder = tokens.Encoder(tokens.default_tokenizer())
+    raw = [x.encode() for x in texts]
+    for _ in range(2):
+        flat, at = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(x) for x in raw]))))
+        got = [flat[at[k]:at[k + 1]].tolist() for k in range(len(texts))]
+        assert got == [encoder.tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
+    assert got[0] == [39305, 50256, 825]
+
+
 def pieces_by_row(found):
     out = defaultdict(list)
     for r in found:
