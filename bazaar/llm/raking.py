@@ -2,10 +2,15 @@
 
 Documents fall into cells (source, language, topic).  Cell weights start as the
 cells' token shares and are raked to the target marginals of each dimension in
-turn until all marginals agree.  A document is kept with probability
-``min(1, c * weight / tokens)`` of its cell, ``c`` being set so that the expected
-share of tokens kept is ``KEEP_SHARE``; the draw is a hash of its id, so it is
-the same at every run.
+turn until all marginals agree.  A document is kept with the probability of its
+cell, such that the expected share of tokens kept is ``KEEP_SHARE``: ``c * weight /
+tokens`` where no cell needs more than all its tokens.  Otherwise the tokens to keep
+are raked again with each cell's tokens as upper bound, so that other cells make up
+for the full ones and the kept tokens still have the target marginals.  A category
+whose target exceeds all its tokens is kept whole, and the rest of its dimension
+shares what it lacks in proportion to the targets; ``reached`` gives target and
+expected share of every category.  The draw is a hash of the id, so it is the same
+at every run.
 
 The topic of a document is the vocabulary slice (hash of words of four bytes and
 more, modulo ``TOPICS``) that it uses most compared with the whole corpus.  Tokens
@@ -27,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaar.session import cut_lineage
@@ -40,6 +45,7 @@ KEEP_SHARE = 0.75
 TOLERANCE = 1e-5      # largest difference of a marginal share
 MAX_ROUNDS = 60
 ROUNDS_PER_JOB = 4
+STALLED = 0.98        # of the difference before: bounds and targets exclude each other
 DIMENSIONS = ("source", "lang", "topic")
 
 
@@ -97,30 +103,65 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOL
         state = state.join(target.withColumnRenamed("target", f"target_{d}"), d, "left").fillna(0.0, [f"target_{d}"])
     state = cut_lineage(state)
 
+    return _fit(state, list(targets), tolerance).select(*cells.columns, "weight")
+
+
+def _fit(state: DataFrame, dims: list[str], tolerance: float, bound: Column | None = None) -> DataFrame:
+    """``state`` with ``weight`` scaled to ``target_<dimension>`` in turn and, with
+    ``bound``, cut to it after each dimension: projections onto convex sets in turn,
+    which end in a point of all of them if there is one.  If there is none the
+    difference stops shrinking, and so do the rounds."""
     def marginal(d):
         return F.sum("weight").over(Window.partitionBy(d))
 
+    last = float("inf")
     for _ in range(0, MAX_ROUNDS, ROUNDS_PER_JOB):
         for _ in range(ROUNDS_PER_JOB):
-            for d in targets:
+            for d in dims:
+                scaled = F.when(F.col("__m") > 0, F.col("weight") * F.col(f"target_{d}") / F.col("__m")).otherwise(0.0)
                 state = state.withColumn("__m", marginal(d)).withColumn(
-                    "weight", F.when(F.col("__m") > 0, F.col("weight") * F.col(f"target_{d}") / F.col("__m")).otherwise(0.0))
+                    "weight", scaled if bound is None else F.least(scaled, bound))
         state = cut_lineage(state.drop("__m"))
         off = state
-        for d in targets:
+        for d in dims:
             off = off.withColumn(f"__{d}", F.abs(marginal(d) - F.col(f"target_{d}")))
-        if off.agg(F.max(F.greatest(*[F.col(f"__{d}") for d in targets]))).first()[0] < tolerance:
+        now = off.agg(F.max(F.greatest(*[F.col(f"__{d}") for d in dims]))).first()[0]
+        if now < tolerance or (bound is not None and now > STALLED * last):
             break
-    return state.select(*cells.columns, "weight")
+        last = now
+    return state
 
 
-def probabilities(cells: DataFrame, keep_share: float = KEEP_SHARE) -> DataFrame:
+def rebalance(cells: DataFrame, targets: dict[str, DataFrame], keep_share: float = KEEP_SHARE,
+              tolerance: float = TOLERANCE) -> DataFrame:
+    """``cells`` (with ``weight`` by ``rake``) with ``part``: shares of the kept tokens,
+    none above the cell's own tokens, whose marginals are the targets as far as the
+    categories have the tokens."""
+    total = cells.agg(F.sum("tokens")).first()[0]
+    keep = float(total or 0) * keep_share
+    if not keep or not cells.filter(F.col("weight") * F.lit(keep) > F.col("tokens")).take(1):
+        return cells.withColumn("part", F.col("weight"))
+    state = cells.withColumn("__raked", F.col("weight"))
+    for d, target in targets.items():
+        there = cells.filter("weight > 0").groupBy(d).agg(F.sum("tokens").alias("tokens")).join(
+            target.withColumnRenamed("target", "weight"), d)
+        goal = probabilities(there, keep / there.agg(F.sum("tokens")).first()[0])
+        state = state.join(goal.select(d, (F.col("probability") * F.col("tokens") / F.lit(keep)).alias(f"target_{d}")),
+                           d, "left").fillna(0.0, [f"target_{d}"])
+    bound = F.col("tokens") / F.lit(keep)
+    state = cut_lineage(state.withColumn("weight", F.least("weight", bound)))
+    return (_fit(state, list(targets), tolerance, bound)
+            .select(*[c for c in cells.columns if c != "weight"], F.col("__raked").alias("weight"), F.col("weight").alias("part")))
+
+
+def probabilities(cells: DataFrame, keep_share: float = KEEP_SHARE, by: str = "weight") -> DataFrame:
     """Cells with ``probability`` = min(1, c * weight / tokens), ``c`` solved so that
-    the expected tokens are ``keep_share`` of all (or all that is reachable)."""
+    the expected tokens are ``keep_share`` of all (or all that is reachable).  ``by``
+    names the column of weights."""
     total = cells.agg(F.sum("tokens")).first()[0]
     if not total:
         return cells.withColumn("probability", F.lit(0.0))
-    ratio = F.col("weight") / F.col("tokens")
+    ratio = F.col(by) / F.col("tokens")
     low, high = -60.0, 60.0                      # log2 of c times total
     for _ in range(4):                           # each pass narrows the range 64 times
         grid = np.linspace(low, high, 65)
@@ -140,7 +181,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", targets
     cells = common.materialize(table.groupBy(*dims).agg(F.sum("n_tokens").alias("tokens")), "cells")
     full = cells.filter("tokens > 0")
     goal = targets or {d: default_targets(full, d) for d in dims}
-    fitted = common.materialize(probabilities(rake(full, goal), keep_share), "probabilities")
+    raked = rebalance(rake(full, goal), goal, keep_share)
+    fitted = common.materialize(probabilities(raked, keep_share, "part"), "probabilities")
     draw = F.pmod(F.xxhash64(F.coalesce("id", -F.col("row") - 1), F.lit(seed)), F.lit(1 << 53)) / F.lit(float(1 << 53))
     return (table.join(fitted.select(*dims, "weight", "probability"), dims, "left")
             .fillna(0.0, ["weight", "probability"])
@@ -148,6 +190,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", targets
             .select("row", F.col("id").alias(id_col), *dims, "n_tokens", "weight", "probability", "kept"))
 
 
+def reached(mixed: DataFrame) -> DataFrame:
+    """Of a result of ``mix``: per dimension and category the share of tokens before,
+    the target (marginal of the weights) and the expected share of the kept tokens."""
+    cells = mixed.filter("n_tokens > 0").groupBy(*DIMENSIONS).agg(
+        F.sum("n_tokens").alias("n"), F.first("weight").alias("w"), F.sum(F.col("n_tokens") * F.col("probability")).alias("k"))
+    whole = cells.select(F.explode(F.array(*[
+        F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("category"), "n", "w", "k") for d in DIMENSIONS])).alias("x"))
+    sums = whole.select("x.*").groupBy("dimension", "category").agg(*[F.sum(c).alias(c) for c in "nwk"])
+    one = Window.partitionBy("dimension")
+    return sums.select("dimension", "category", *[(F.col(c) / F.sum(c).over(one)).alias(name)
+                                                  for c, name in zip("nwk", ("share", "target", "expected"))])
+
+
 def sample_mix(docs: DataFrame, **kwargs) -> DataFrame:
     """The kept rows of ``docs`` with all their columns."""
     stored = common.numbered(docs)

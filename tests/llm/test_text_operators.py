@@ -75,6 +75,25 @@ def test_mix_reaches_targets(spark, docs):
     assert raking.sample_mix(docs).count() == got.kept.sum()
 
 
+def test_kept_tokens_have_the_target_marginals(spark):
+    """A source with a third of the tokens: raked weights alone want more than all of some cells."""
+    rows = [("hot" if i == 20 else f"s{i}", lang, "aa " * round(4000 * n * (10 if i == 20 else 1)))
+            for i in range(21) for lang, n in (("en", .45), ("fr", .2), ("de", .2), ("es", .15))]
+    docs = spark.createDataFrame([(k, t, lang, s) for k, (s, lang, t) in enumerate(rows)],
+                                 "doc_id long, text string, lang string, source string")
+    mixed = raking.mix(docs)
+    got = mixed.toPandas()
+    assert got.probability.max() > 0.9999                # some cells are full
+    assert abs((got.probability * got.n_tokens).sum() / got.n_tokens.sum() - raking.KEEP_SHARE) < 1e-3
+    for d in ("source", "lang"):
+        share = got.groupby(d).n_tokens.sum() / got.n_tokens.sum()
+        goal = share ** raking.ALPHA / (share ** raking.ALPHA).sum()
+        kept = (got.probability * got.n_tokens).groupby(got[d]).sum()
+        assert (kept / kept.sum() - goal).abs().max() < 1e-3
+    for r in raking.reached(mixed).collect():
+        assert abs(r.expected - r.target) < 1e-3
+
+
 def test_rake_equals_dense_fitting(spark):
     rng = np.random.default_rng(0)
     t = rng.integers(1, 100, (3, 2, 2)).astype(float)
