@@ -15,10 +15,13 @@ from .bounded_packing import pack
 from .grace_dedup import duplicate_groups
 from .license_scan import license_scan
 from .partenum_join import jaccard_components
+from .periodic_runs import planted_tail, run_digests
+from .piece_encoding import piece_digests
 from .quality_forest import quality_rules
 from .raking import mix
 from .secret_forest import secret_scan
 from .sentence_spans import remove_repeated_spans
+from .spelling_groups import planted_slip, spelling_variants
 from .suffix_dedup import removed_spans
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +95,18 @@ def op3(spark, sf_dir):
 @query("op6_secret_forest")
 def op6(spark, sf_dir):
     return secret_scan(common.read_documents(spark, sf_dir))
+
+
+@query("op11_spelling_variants")
+def op11(spark, sf_dir):
+    return spelling_variants(common.read_documents(spark, sf_dir), rewrite=planted_slip)
+
+
+@query("op12_agenda_pieces")
+def op12(spark, sf_dir):
+    return piece_digests(common.read_documents(spark, sf_dir))
+
+
+@query("op13_recompression_runs")
+def op13(spark, sf_dir):
+    return run_digests(common.read_documents(spark, sf_dir), rewrite=planted_tail)
