@@ -116,20 +116,19 @@ def test_agenda_equals_library():
     enc = piece_encoding.PieceEncoder(piece_encoding.default_model())
     rng = random.Random(3)
     texts = ODD + ["".join(rng.choice("  abehinorst▁éあ\n<0x>") for _ in range(rng.randint(1, 80))) for _ in range(400)]
-    for t in texts:
-        ids, decimals = enc.encode(t)
-        assert ids == enc.library.encode(t) and decimals == ",".join(map(str, ids))
-    enc.by_word = False                       # one agenda for the whole text gives the same ids
-    for t in texts:
-        assert enc.encode(t)[0] == enc.library.encode(t)
+    want = [enc.library.encode(t) for t in texts]
+    assert enc.encode(texts) == want
+    for t, i in zip(texts, want):             # a heap for each whole text gives the same ids
+        assert not t or enc.ids(enc.library.normalize(t)) == i
 
 
 def test_memo_generations(monkeypatch):
     monkeypatch.setattr(piece_encoding, "MEMO_WORDS", 5)
     enc = piece_encoding.PieceEncoder(piece_encoding.default_model())
-    text = " ".join(f"word{k % 9} thing{k % 4}" for k in range(200))
-    assert enc.encode(text)[0] == enc.library.encode(text)
-    assert len(enc.fresh) <= 5 and len(enc.old) <= 5
+    for k in range(30):
+        text = f"word{k % 9} thing{k % 4} word{k % 3} " + "long" * 40
+        assert enc.encode([text])[0] == enc.library.encode(text)
+        assert len(enc.fresh) < 5 + 5 and len(enc.old) < 10 and "▁" + "long" * 40 not in enc.old
 
 
 def test_pieces_of_whole_table(docs, rows):
@@ -145,14 +144,18 @@ def test_pieces_of_whole_table(docs, rows):
     assert list(full.ids) == lib.encode(dict(rows)[505]) and full.decoded == lib.decode(list(full.ids))
 
 
-def test_difference_to_library_raises(docs, monkeypatch):
+@pytest.mark.parametrize("whole", [False, True])
+def test_difference_to_library_raises(monkeypatch, whole):
+    import pyarrow as pa
     enc = piece_encoding.PieceEncoder(piece_encoding.default_model())
-    del enc.score["▁the"]                     # merges that are not the model's
     monkeypatch.setitem(piece_encoding._encoders, "x", enc)
-    import pyarrow as pa
-    batch = pa.RecordBatch.from_pydict({"i": [1], "t": ["over the hills"]})
+    texts = ODD + [None, "over the hills"]
+    batch = pa.RecordBatch.from_pydict({"i": list(range(len(texts))), "t": texts})
+    assert sum(len(s[1]) for s in piece_encoding._steps(iter([batch]), "x", whole)) == len(texts)
+    enc.fresh.clear()
+    enc.pair_rank[:] = enc.pair_rank[::-1].copy()             # merges that are not the model's
     with pytest.raises(ValueError, match="differ"):
-        list(piece_encoding._steps(iter([batch]), "x"))
+        list(piece_encoding._steps(iter([batch]), "x", whole))
 
 
 def test_no_pieces(empty):
