@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +24,52 @@ def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: Paths made within each open block of ``temporary_tables``.
+_blocks: list[list[str]] = []
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the folder named by ``spark.checkpoint.dir``."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _blocks:
+        _blocks[-1].append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let the driver forget frames that nothing refers to any more: Spark's cleaner
+    then removes their shuffle files."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession):
+    """Tables that are stored within the block are removed at its end.  What is read
+    after the block must have been stored at a path made before it."""
+    free_shuffles(spark)
+    _blocks.append([])
+    try:
+        yield
+    finally:
+        for path in _blocks.pop():
+            remove(spark, path)
+        free_shuffles(spark)
+
+
+def settled(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make()`` returns, stored at ``path``; tables that it stored on its way go."""
+    with temporary_tables(spark):
+        df = make()
+        df.write.parquet(path)
+        schema = df.schema
+        del df
+    return spark.read.schema(schema).parquet(path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -65,18 +110,50 @@ ROW = "__bazaar_row_number"
 
 
 def with_row(docs: DataFrame) -> DataFrame:
-    """``docs`` with a number per row (its own, if it was stored with one).  The
-    numbers of one reading; another may split files differently."""
-    return docs if ROW in docs.columns else docs.withColumn(ROW, F.monotonically_increasing_id())
-
-
-def numbered(docs: DataFrame) -> DataFrame:
-    """A stored copy of ``docs`` with a number per row.  Numbers are fixed when they
-    are written, so jobs that read the copy again, on other executors or in other
-    splits, mean the same rows even when ids are null or repeated."""
-    return materialize(with_row(docs), "numbered")
+    """``docs`` with a number per row in column ``ROW``: its own, if ``numbered`` stored
+    it with one.  Else the numbers are those of one reading; another may split files
+    differently.  A column of ``docs`` that happens to have this name isn't a number."""
+    own = getattr(docs, "row_name", None)
+    return docs.withColumn(ROW, F.col(own) if own else F.monotonically_increasing_id())
+
+
+#: Paths of files that may be sent to every task, in characters of all their names.
+PATHS_SENT = 32 << 20
+
+
+def _is_parquet_scan(docs: DataFrame) -> bool:
+    """Whether ``docs`` is nothing but a read of Parquet files."""
+    plan = docs._jdf.queryExecution().analyzed()
+    return (plan.getClass().getSimpleName() == "LogicalRelation"
+            and "parquet" in plan.relation().toString().lower())
+
+
+def numbered(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """``docs`` (or some of its columns) with a number per row that every job reads
+    alike, on any executor and in any splits, also where ids are null or repeated.
+
+    Rows of Parquet files are numbered by file and place in the file, without a copy;
+    the files, as many as Spark's own list of them, are joined by path, broadcast up
+    to ``PATHS_SENT``.  Any other frame is stored with its numbers."""
+    columns = columns or docs.columns
+    name = ROW
+    while name in docs.columns:
+        name += "_"
+    if _is_parquet_scan(docs) and not {"_metadata"} & set(docs.columns):
+        paths = sorted(r[0] for r in docs.select("_metadata.file_path").distinct().collect())
+        files = docs.sparkSession.createDataFrame(list(enumerate(paths)), "__file long, __path string")
+        if sum(map(len, paths)) <= PATHS_SENT:
+            files = F.broadcast(files)
+        placed = docs.select(*columns, F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__at"))
+        stored = placed.join(files, "__path").select(
+            *columns, (F.shiftleft("__file", 36) + F.col("__at")).alias(name))
+    else:
+        stored = materialize(docs.select(*columns, F.monotonically_increasing_id().alias(name)), "numbered")
+    stored.row_name = name
+    return stored
 
 
 def without_rows(stored: DataFrame, lost: DataFrame) -> DataFrame:
-    """A ``numbered`` table without the rows in column ``row`` of ``lost``."""
-    return stored.join(lost.select(F.col("row").alias(ROW)), ROW, "left_anti").drop(ROW)
+    """A ``numbered`` frame without the rows in column ``row`` of ``lost``."""
+    name = stored.row_name
+    return stored.join(lost.select(F.col("row").alias(name)), name, "left_anti").drop(name)

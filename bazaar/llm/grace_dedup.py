@@ -184,6 +184,9 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that lose; all columns stay."""
-    stored = common.numbered(docs)
-    return common.without_rows(stored, duplicate_groups(stored, id_col, text_col).filter("NOT kept"))
+    """``docs`` without the rows that lose; all columns stay.  The verdict is stored
+    first, so that the spill files are gone when the rows are filtered."""
+    spark, stored = docs.sparkSession, common.numbered(docs)
+    lost = common.settled(spark, common.shared_path(spark, "exact-copies"), lambda: duplicate_groups(
+        stored, id_col, text_col).filter("NOT kept").select("row"))
+    return common.without_rows(stored, lost)

@@ -191,5 +191,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without rejected rows; all columns stay."""
-    stored = common.numbered(docs)
-    return common.without_rows(stored, quality_rules(stored, labels, id_col, text_col).filter("NOT kept"))
+    spark, stored = docs.sparkSession, common.numbered(docs)
+    lost = common.settled(spark, common.shared_path(spark, "rejected"), lambda: quality_rules(
+        stored, labels, id_col, text_col).filter("NOT kept").select("row"))
+    return common.without_rows(stored, lost)

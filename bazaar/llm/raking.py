@@ -1,17 +1,28 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
-Documents fall into cells (source, language, topic).  Cell weights start as the
-cells' token shares and are raked to the target marginals of each dimension in
-turn until all marginals agree.  A document is kept with the probability of its
-cell, such that the expected share of tokens kept is ``KEEP_SHARE``: ``c * weight /
-tokens`` where no cell needs more than all its tokens.  Otherwise the tokens to keep
-are raked again with each cell's tokens as upper bound, so that other cells make up
-for the full ones and the kept tokens still have the target marginals.  A category
+Documents fall into cells (source, language, topic).  A cell's weight is its share of
+tokens times one factor per category of each dimension, and at most a bound.  Fitting
+takes the dimensions in turn: the weights are summed by category (partial sums, so a
+category with a third of all cells is no hot key) and each category's factor is moved
+towards its target.  Only factors are kept between the rounds, one small table per
+dimension; the cells are stored once, in as many partitions as their number needs.
+
+First the weights are raked to the targets without bounds.  A document is kept with
+the probability of its cell, such that the expected share of tokens kept is
+``KEEP_SHARE``: ``c * weight / tokens`` where no cell needs more than all its tokens.
+Otherwise the tokens to keep are raked again with each cell's tokens as bound, so that
+other cells make up for the full ones and the kept tokens still have the target
+marginals; a factor's step then counts what full cells hold as given.  A category
 whose target exceeds all its tokens is kept whole, and the rest of its dimension
 shares what it lacks in proportion to the targets; ``reached`` gives target and
 expected share of every category.  The draw is a hash of the id, so it is the same
 at every run.
 
+Fitting ends when every marginal is within ``TOLERANCE`` of its target.  Targets that
+exclude each other can't be met: the largest difference then stops shrinking (or
+``MAX_ROUNDS`` are over), fitting ends there, and column ``difference`` says how far
+the marginals are off.
+
 The topic of a document is the vocabulary slice (hash of words of four bytes and
 more, modulo ``TOPICS``) that it uses most compared with the whole corpus.  Tokens
 are counted as words.
@@ -28,24 +39,25 @@ gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaar.session import cut_lineage
-
 from . import common, words
 
 TOPICS = 8
 ALPHA = 0.7
 KEEP_SHARE = 0.75
 TOLERANCE = 1e-5      # largest difference of a marginal share
-MAX_ROUNDS = 60
-ROUNDS_PER_JOB = 4
-STALLED = 0.98        # of the difference before: bounds and targets exclude each other
+MAX_ROUNDS = 60       # the difference that is left then is returned
+STALLED = 0.999       # of the difference before: targets exclude each other
+CELLS_PER_TASK = 200_000
+CELL_FILES = 32       # files of the table of cells before its rows are counted
 DIMENSIONS = ("source", "lang", "topic")
 
 
@@ -86,108 +98,130 @@ def profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", to
 
 def default_targets(cells: DataFrame, dimension: str, alpha: float = ALPHA) -> DataFrame:
     """(dimension, target): token shares to the power alpha, normed."""
-    share = cells.groupBy(dimension).agg(F.sum("tokens").alias("t"))
-    power = F.pow(F.col("t").cast("double"), F.lit(alpha))
-    return share.select(dimension, power.alias("p")).withColumn(
-        "target", F.col("p") / F.sum("p").over(Window.partitionBy(F.lit(1)))).select(dimension, "target")
+    power = cells.groupBy(dimension).agg(F.pow(F.sum("tokens").cast("double"), F.lit(alpha)).alias("p"))
+    return power.select(dimension, (F.col("p") / power.agg(F.sum("p")).scalar()).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE) -> DataFrame:
-    """``cells`` (dimensions, tokens > 0) with ``weight``: shares whose marginals
-    are the targets.  A category without a target has the target zero."""
-    total = cells.agg(F.sum("tokens")).first()[0]
-    if not total:
-        return cells.withColumn("weight", F.lit(0.0))
-    state = cells.withColumn("weight", F.col("tokens") / F.lit(float(total)))
+def _compact(df: DataFrame, rows: int, name: str) -> DataFrame:
+    """``df`` stored in partitions of about ``CELLS_PER_TASK`` of its ``rows``."""
+    parts = max(1, math.ceil(rows / CELLS_PER_TASK))
+    return common.materialize(df.coalesce(parts), name).coalesce(parts)
+
+
+def _weighted(cells: DataFrame, factors: dict[str, DataFrame]) -> DataFrame:
+    """``cells`` (dimensions, base, bound) with ``free``, the weight without bound."""
+    free = F.col("base")
+    for d, f in factors.items():
+        cells = cells.join(f.select(d, F.col("factor").alias(f"__{d}")), d)
+        free = free * F.col(f"__{d}")
+    return cells.withColumn("free", free).drop(*[f"__{d}" for d in factors])
+
+
+def _fit(cells: DataFrame, targets: dict[str, DataFrame], rows: int, tolerance: float, max_rounds: int
+         ) -> tuple[dict[str, DataFrame], float]:
+    """Factors of ``cells`` (dimensions, base, bound) and the largest difference of a
+    marginal that is left.
+
+    A step sets a category's factor so that its cells reach the target if the full
+    ones stay full and the others grow alike; if the full ones alone exceed the target
+    all are scaled down.  Sums rise ever slower in the factor, so such steps come to
+    the target from below."""
+    full = F.col("free") >= F.col("bound")
+    factors = {}
     for d, target in targets.items():
-        state = state.join(target.withColumnRenamed("target", f"target_{d}"), d, "left").fillna(0.0, [f"target_{d}"])
-    state = cut_lineage(state)
-
-    return _fit(state, list(targets), tolerance).select(*cells.columns, "weight")
-
-
-def _fit(state: DataFrame, dims: list[str], tolerance: float, bound: Column | None = None) -> DataFrame:
-    """``state`` with ``weight`` scaled to ``target_<dimension>`` in turn and, with
-    ``bound``, cut to it after each dimension: projections onto convex sets in turn,
-    which end in a point of all of them if there is one.  If there is none the
-    difference stops shrinking, and so do the rounds."""
-    def marginal(d):
-        return F.sum("weight").over(Window.partitionBy(d))
-
-    last = float("inf")
-    for _ in range(0, MAX_ROUNDS, ROUNDS_PER_JOB):
-        for _ in range(ROUNDS_PER_JOB):
-            for d in dims:
-                scaled = F.when(F.col("__m") > 0, F.col("weight") * F.col(f"target_{d}") / F.col("__m")).otherwise(0.0)
-                state = state.withColumn("__m", marginal(d)).withColumn(
-                    "weight", scaled if bound is None else F.least(scaled, bound))
-        state = cut_lineage(state.drop("__m"))
-        off = state
-        for d in dims:
-            off = off.withColumn(f"__{d}", F.abs(marginal(d) - F.col(f"target_{d}")))
-        now = off.agg(F.max(F.greatest(*[F.col(f"__{d}") for d in dims]))).first()[0]
-        if now < tolerance or (bound is not None and now > STALLED * last):
+        there = cells.groupBy(d).agg(F.lit(1.0).alias("factor")).join(target.select(d, "target"), d, "left")
+        factors[d] = _compact(there.fillna(0.0, ["target"]), rows, "factors")
+    last, left = math.inf, 0.0
+    for _ in range(max_rounds):
+        steps = []
+        for d in targets:
+            sums = _weighted(cells, factors).groupBy(d).agg(
+                F.sum(F.when(full, F.col("bound")).otherwise(0.0)).alias("held"),
+                F.sum(F.when(full, 0.0).otherwise(F.col("free"))).alias("moving"))
+            now = F.col("held") + F.col("moving")
+            step = (F.when((F.col("target") > F.col("held")) & (F.col("moving") > 0), (F.col("target") - F.col("held")) / F.col("moving"))
+                    .when(now > 0, F.col("target") / now).otherwise(0.0))
+            factors[d] = _compact(factors[d].join(sums, d).select(
+                d, (F.col("factor") * step).alias("factor"), "target", F.abs(now - F.col("target")).alias("off")), rows, "factors")
+            steps.append(factors[d].select("off"))
+        left = reduce(DataFrame.union, steps).agg(F.max("off")).first()[0] or 0.0
+        if left < tolerance or left > STALLED * last:
             break
-        last = now
-    return state
+        last = left
+    return factors, left
+
+
+def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE,
+         max_rounds: int = MAX_ROUNDS) -> DataFrame:
+    """``cells`` (dimensions, tokens > 0) with ``weight``: shares whose marginals are the
+    targets, and the ``difference`` that is left.  A category without a target has the
+    target zero."""
+    rows, total = cells.agg(F.count("*"), F.sum("tokens")).first()
+    if not total:
+        return cells.withColumns({"weight": F.lit(0.0), "difference": F.lit(0.0)})
+    stored = _compact(cells.withColumns({"base": F.col("tokens") / F.lit(float(total)), "bound": F.lit(math.inf)}), rows, "cells")
+    factors, left = _fit(stored, targets, rows, tolerance, max_rounds)
+    return _weighted(stored, factors).select(*cells.columns, F.col("free").alias("weight"), F.lit(left).alias("difference"))
 
 
 def rebalance(cells: DataFrame, targets: dict[str, DataFrame], keep_share: float = KEEP_SHARE,
-              tolerance: float = TOLERANCE) -> DataFrame:
-    """``cells`` (with ``weight`` by ``rake``) with ``part``: shares of the kept tokens,
-    none above the cell's own tokens, whose marginals are the targets as far as the
-    categories have the tokens."""
-    total = cells.agg(F.sum("tokens")).first()[0]
+              tolerance: float = TOLERANCE, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+    """``cells`` (with ``weight`` and ``difference`` by ``rake``) with ``part``: shares of
+    the kept tokens, none above the cell's own tokens, whose marginals are the targets
+    as far as the categories have the tokens."""
+    rows, total = cells.agg(F.count("*"), F.sum("tokens")).first()
     keep = float(total or 0) * keep_share
     if not keep or not cells.filter(F.col("weight") * F.lit(keep) > F.col("tokens")).take(1):
         return cells.withColumn("part", F.col("weight"))
-    state = cells.withColumn("__raked", F.col("weight"))
+    goals = {}
     for d, target in targets.items():
-        there = cells.filter("weight > 0").groupBy(d).agg(F.sum("tokens").alias("tokens")).join(
-            target.withColumnRenamed("target", "weight"), d)
+        there = _compact(cells.filter("weight > 0").groupBy(d).agg(F.sum("tokens").alias("tokens")).join(
+            target.withColumnRenamed("target", "weight"), d), rows, "targets")
         goal = probabilities(there, keep / there.agg(F.sum("tokens")).first()[0])
-        state = state.join(goal.select(d, (F.col("probability") * F.col("tokens") / F.lit(keep)).alias(f"target_{d}")),
-                           d, "left").fillna(0.0, [f"target_{d}"])
-    bound = F.col("tokens") / F.lit(keep)
-    state = cut_lineage(state.withColumn("weight", F.least("weight", bound)))
-    return (_fit(state, list(targets), tolerance, bound)
-            .select(*[c for c in cells.columns if c != "weight"], F.col("__raked").alias("weight"), F.col("weight").alias("part")))
+        goals[d] = goal.select(d, (F.col("probability") * F.col("tokens") / F.lit(keep)).alias("target"))
+    stored = _compact(cells.withColumns({"base": F.col("weight"), "bound": F.col("tokens") / F.lit(keep)}), rows, "cells")
+    factors, left = _fit(stored, goals, rows, tolerance, max_rounds)
+    kept = _weighted(stored, factors).withColumn("part", F.least("free", "bound"))
+    return kept.withColumn("difference", F.greatest("difference", F.lit(left))).select(*cells.columns, "part")
 
 
 def probabilities(cells: DataFrame, keep_share: float = KEEP_SHARE, by: str = "weight") -> DataFrame:
     """Cells with ``probability`` = min(1, c * weight / tokens), ``c`` solved so that
     the expected tokens are ``keep_share`` of all (or all that is reachable).  ``by``
-    names the column of weights."""
-    total = cells.agg(F.sum("tokens")).first()[0]
-    if not total:
+    names the column of weights.  Each step gives the cells that aren't full what the
+    full ones leave; ``c`` only grows, and with it the set of full cells."""
+    total, weights = cells.agg(F.sum("tokens"), F.sum(by)).first()
+    if not total or not weights:
         return cells.withColumn("probability", F.lit(0.0))
-    ratio = F.col(by) / F.col("tokens")
-    low, high = -60.0, 60.0                      # log2 of c times total
-    for _ in range(4):                           # each pass narrows the range 64 times
-        grid = np.linspace(low, high, 65)
-        kept = cells.agg(*[F.sum(F.least(F.lit(1.0), ratio * F.lit(float(total) * 2.0 ** g)) * F.col("tokens")).alias(f"g{k}")
-                           for k, g in enumerate(grid)]).first()
-        k = next((k for k in range(65) if kept[k] >= keep_share * total), 64)
-        low, high = grid[max(k - 1, 0)], grid[k]
-    return cells.withColumn("probability", F.least(F.lit(1.0), ratio * F.lit(float(total) * 2.0 ** high)))
+    keep, weight = keep_share * total, F.col(by)
+    c = keep / weights
+    while True:
+        full = weight * F.lit(c) >= F.col("tokens")
+        held, moving = cells.agg(F.sum(F.when(full, F.col("tokens")).otherwise(0)), F.sum(F.when(full, 0.0).otherwise(weight))).first()
+        grown = (keep - held) / moving if moving and keep > held else c
+        if grown <= c * (1 + 1e-12):
+            return cells.withColumn("probability", F.least(F.lit(1.0), weight * F.lit(c) / F.col("tokens")))
+        c = grown
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", targets: dict[str, DataFrame] | None = None,
         keep_share: float = KEEP_SHARE, seed: int = 17) -> DataFrame:
     """One row per input row: row, id, source, lang, topic, n_tokens, weight (of the
-    cell), probability, kept.  ``targets``: per dimension a frame (dimension, target)."""
+    cell), probability, kept, difference (of the fitted marginals from the targets).
+    ``targets``: per dimension a frame (dimension, target)."""
     table = profiles(docs, id_col, text_col)
     dims = list(DIMENSIONS)
-    cells = common.materialize(table.groupBy(*dims).agg(F.sum("n_tokens").alias("tokens")), "cells")
-    full = cells.filter("tokens > 0")
-    goal = targets or {d: default_targets(full, d) for d in dims}
-    raked = rebalance(rake(full, goal), goal, keep_share)
-    fitted = common.materialize(probabilities(raked, keep_share, "part"), "probabilities")
+    cells = common.materialize(table.groupBy(*dims).agg(F.sum("n_tokens").alias("tokens")).coalesce(CELL_FILES), "cells")
+    rows = cells.count()
+    full = _compact(cells.filter("tokens > 0"), rows, "cells")
+    goal = {d: _compact(t, rows, "targets") for d, t in (targets or {d: default_targets(full, d) for d in dims}).items()}
+    raked = _compact(rebalance(_compact(rake(full, goal), rows, "raked"), goal, keep_share), rows, "raked")
+    fitted = _compact(probabilities(raked, keep_share, "part"), rows, "probabilities")
     draw = F.pmod(F.xxhash64(F.coalesce("id", -F.col("row") - 1), F.lit(seed)), F.lit(1 << 53)) / F.lit(float(1 << 53))
-    return (table.join(fitted.select(*dims, "weight", "probability"), dims, "left")
-            .fillna(0.0, ["weight", "probability"])
+    return (table.join(fitted.select(*dims, "weight", "probability", "difference"), dims, "left")
+            .fillna(0.0, ["weight", "probability", "difference"])
             .withColumn("kept", draw < F.col("probability"))
-            .select("row", F.col("id").alias(id_col), *dims, "n_tokens", "weight", "probability", "kept"))
+            .select("row", F.col("id").alias(id_col), *dims, "n_tokens", "weight", "probability", "kept", "difference"))
 
 
 def reached(mixed: DataFrame) -> DataFrame:
@@ -205,5 +239,7 @@ def reached(mixed: DataFrame) -> DataFrame:
 
 def sample_mix(docs: DataFrame, **kwargs) -> DataFrame:
     """The kept rows of ``docs`` with all their columns."""
-    stored = common.numbered(docs)
-    return common.without_rows(stored, mix(stored, **kwargs).filter("NOT kept"))
+    spark, stored = docs.sparkSession, common.numbered(docs)
+    lost = common.settled(spark, common.shared_path(spark, "not-drawn"),
+                          lambda: mix(stored, **kwargs).filter("NOT kept").select("row"))
+    return common.without_rows(stored, lost)

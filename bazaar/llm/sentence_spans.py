@@ -170,7 +170,7 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: (id, n_sentences, n_removed, removed_spans, kept_text).
     ``removed_spans`` are maximal ranges of sentences (first, n), counted from 0."""
-    base = common.numbered(docs.select(id_col, text_col)).select(F.col(common.ROW).alias("row"), F.col(id_col).cast("long").alias("id"),
+    base = common.with_row(common.numbered(docs, [id_col, text_col])).select(F.col(common.ROW).alias("row"), F.col(id_col).cast("long").alias("id"),
                                         F.col(text_col).alias("text"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = deal.shuffle(base.mapInArrow(_deal_runs(parts), deal.schema(RUNS)))

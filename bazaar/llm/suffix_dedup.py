@@ -333,7 +333,7 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``removed`` lists maximal byte ranges [begin, end)."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = common.numbered(docs.select(id_col, text_col)).select(F.col(common.ROW).alias("row"), F.col(id_col).cast("long").alias("id"),
+    base = common.with_row(common.numbered(docs, [id_col, text_col])).select(F.col(common.ROW).alias("row"), F.col(id_col).cast("long").alias("id"),
                                         F.col(text_col).alias("text"))
     info = common.materialize(base.mapInArrow(_describe, INFO), "texts")
     classes = info.groupBy("c1", "c2").agg(F.min("row").alias("rep"), F.count("*").alias("copies"))

@@ -44,5 +44,5 @@ def test_stages(spark):
 
 
 def test_queries_are_registered():
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert os.path.exists(corpus_pipeline.__file__)

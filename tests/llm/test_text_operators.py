@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from bazaar.llm import bitpack, bounded_packing, license_scan, quality_forest, raking, secret_forest, tokens
 
@@ -305,3 +306,65 @@ def test_secrets(spark, docs, empty):
 def test_secrets_from_given_labels(spark, docs):
     found = secret_forest.features(docs).withColumn("label", secret_forest.F.lit(0.0))
     assert not any(r.is_secret for r in secret_forest.secret_scan(docs, labelled=found).collect())
+
+
+# -- rows and fits -------------------------------------------------------------------
+
+def test_rows_keep_their_numbers(spark, docs):
+    from bazaar.llm import common
+    first, again = common.numbered(docs), common.numbered(docs, ["text"]).repartition(5)
+    assert first.row_name not in docs.columns and set(first.columns) - {first.row_name} == set(docs.columns)
+    got = {r[first.row_name]: r.text for r in first.collect()}
+    assert len(got) == docs.count()
+    assert got == {r[1]: r.text for r in again.collect()}
+    clash = docs.withColumn(common.ROW, F.lit(7))             # a column of that name is no row number
+    stored = common.numbered(clash)
+    rows = common.with_row(stored).select(F.col(common.ROW).alias("row"))
+    assert rows.distinct().count() == docs.count()
+    left = common.without_rows(stored, rows.limit(3))
+    assert left.columns == clash.columns and left.count() == docs.count() - 3
+
+
+def test_tables_of_a_block_go(spark, docs):
+    import os
+    from bazaar.llm import common
+    path = common.shared_path(spark, "kept")
+    inner = []
+
+    def make():
+        stored = common.materialize(docs.select("doc_id"), "inner")
+        inner.append(stored.inputFiles()[0])
+        return stored
+    out = common.settled(spark, path, make)
+    assert out.count() == docs.count()
+    assert not os.path.exists(inner[0].removeprefix("file:").replace("///", "/"))
+
+
+def test_targets_that_exclude_each_other_are_reported(spark):
+    cells = spark.createDataFrame([("a", "x", 10), ("b", "y", 30)], "source string, lang string, tokens long")
+    goal = {"source": spark.createDataFrame([("a", .5), ("b", .5)], "source string, target double"),
+            "lang": spark.createDataFrame([("x", .9), ("y", .1)], "lang string, target double")}
+    got = raking.rake(cells, goal).collect()
+    assert all(abs(r.difference - .4) < 1e-6 for r in got)    # x can't be 0.9 where a is 0.5
+
+
+@pytest.mark.parametrize("per_task", [1, 1000])
+def test_bounded_fit_in_any_number_of_tasks(spark, monkeypatch, per_task):
+    """Against sequential fitting in numpy: same marginals, no cell above its tokens."""
+    monkeypatch.setattr(raking, "CELLS_PER_TASK", per_task)
+    rng = np.random.default_rng(3)
+    t = rng.integers(1, 60, (6, 3)).astype(float)
+    t[0] *= 12
+    cells = spark.createDataFrame([(f"s{i}", f"l{j}", int(t[i, j])) for i in range(6) for j in range(3)],
+                                  "source string, lang string, tokens long")
+    goal = {d: raking.default_targets(cells, d) for d in ("source", "lang")}
+    got = raking.rebalance(raking.rake(cells, goal), goal, 0.8).collect()
+    part = np.zeros_like(t)
+    for r in got:
+        part[int(r.source[1]), int(r.lang[1])] = r.part
+        assert r.difference < 1e-4
+    keep = .8 * t.sum()
+    assert (part * keep <= t * (1 + 1e-9)).all() and abs(part.sum() - 1) < 1e-4
+    assert (np.isclose(part * keep, t)).any()
+    lang = t.sum(0) ** raking.ALPHA
+    assert np.abs(part.sum(0) - lang / lang.sum()).max() < 1e-3
