@@ -4,7 +4,8 @@ mix, packing.
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is
 written as Parquet and read again as the next stage's ``docs``.  All but the last
 return the columns of their input.  Rows with a null or repeated id pass through
-the filtering stages by row; see the operators for each defined case.
+the filtering stages by row; see the operators for each defined case.  What a stage
+stored on its way, and its input, are removed once its output is committed.
 """
 
 from __future__ import annotations
@@ -47,7 +48,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.read_documents(spark, sf_dir)
+    docs, before = common.read_documents(spark, sf_dir), None
     for name, stage in STAGES:
-        docs = common.materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = common.shared_path(spark, f"stage-{name}")
+        docs = common.settled(spark, path, lambda: stage(spark, docs, sf_dir))  # noqa: B023
+        if before:
+            common.remove(spark, before)
+        before = path
     return docs
