@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .quoted_csv import read_quoted_csv
 from .schemas import SCHEMAS
 
 #: Tables whose fields may hold line breaks.
@@ -36,12 +37,11 @@ def read_csv(spark: SparkSession, path: str, key: str | None = None, strict: boo
     schema.  A missing column fails, further columns are left out.  A value that
     doesn't parse becomes NULL, or fails when ``strict``.
 
-    Only review texts hold line breaks: that table alone is read with
-    ``multiLine``, which can't split a file, all others in parallel splits."""
+    All tables are read in parallel splits, also review texts that hold line breaks
+    (see ``quoted_csv``)."""
     key = key or table_key(path)
-    reader = (spark.read.option("header", True).option("escape", '"')
-              .option("multiLine", key in MULTI_LINE_KEYS)
-              .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss"))
+    options = {"escape": '"', "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
+    reader = spark.read.option("header", True).options(**options)
     if key not in SCHEMAS:
         return reader.csv(path)
     wanted = SCHEMAS[key]
@@ -50,7 +50,10 @@ def read_csv(spark: SparkSession, path: str, key: str | None = None, strict: boo
     if missing:
         raise ValueError(f"{path}: missing columns {missing}")
     in_file = T.StructType([wanted[c] if c in wanted.names else T.StructField(c, T.StringType()) for c in header])
-    df = reader.schema(in_file).option("mode", "FAILFAST" if strict else "PERMISSIVE").csv(path)
+    options["mode"] = "FAILFAST" if strict else "PERMISSIVE"
+    if key in MULTI_LINE_KEYS:
+        return read_quoted_csv(spark, path, in_file, options).select(*wanted.names)
+    df = reader.schema(in_file).option("mode", options["mode"]).csv(path)
     if key == "geolocation":
         df = with_file_order(df, "geo_seq")
         return df.select(*wanted.names, "geo_seq")
