@@ -12,7 +12,7 @@ the unknown piece in a vocabulary without them.
 Merges never cross a place between two characters that no piece holds side by side.
 If no piece has a space mark after another character, texts are cut before every run
 of space marks, around ASCII characters that stand in no longer piece, and before
-those that no piece holds behind a letter or the like; equal words then share one agenda, and a bounded memo of two generations keeps their ids.  A new
+marks that no piece holds behind a letter; equal words then share one agenda, and a bounded memo of two generations keeps their ids.  A new
 word is cut further wherever no piece holds the two characters.  The ids are those of
 encoding the whole text.
 
@@ -78,8 +78,8 @@ class PieceEncoder:
         inside = {c for pair in self.joined for c in pair}
         self.by_word = (self.has_bytes and "\n" not in inside and not any(p[1] == SPACE != p[0] for p in self.joined)
                         and lib.normalize(" a  b ") == f"{SPACE}{SPACE}a{SPACE}{SPACE}b{SPACE}")
-        # marks: ASCII characters that follow no others in a piece but marks and spaces
-        marks = {chr(c) for c in range(33, 127) if chr(c) in inside}
+        # marks: characters beside letters and digits that follow only marks and spaces in a piece
+        marks = {c for c in inside if not c.isalnum()} - {SPACE}
         while odd := {p[1] for p in self.joined if p[1] in marks and p[0] not in marks and p[0] != SPACE}:
             marks -= odd
         alone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in inside)
