@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.distributions import f_sf, norm_ppf, t_ppf, t_sf2
 from ..session import cut_lineage
+from .linalg import triangular_factor
 
 INTERCEPT = "Intercept"
 COEF_SCHEMA = ("variable string, coef double, std_err double, t double, p_value double, "
@@ -66,29 +67,51 @@ def _moments(df: DataFrame, y: str, xs: Sequence[str]) -> tuple[int, np.ndarray,
     return n, means, cov
 
 
+#: Condition number of the correlation matrix from which on products lose too many
+#: digits and the fit is taken from a QR decomposition of the rows.
+ILL_CONDITIONED = 1e6
+#: Share of a standardized regressor that the others must leave unexplained.
+COLLINEAR = 1e-10
+
+
 def ols_fit(df: DataFrame, y: str, xs: Sequence[str]) -> OLSFit:
-    """y ~ 1 + xs on the rows where all used columns are non-NULL."""
+    """y ~ 1 + xs on the rows where all used columns are non-NULL.
+
+    Moments are scaled to correlations before they are judged and inverted, so the
+    units of the regressors don't matter.  Where regressors nearly explain each other,
+    a second pass factors the standardized rows (TSQR)."""
     xs = list(xs)
     n, means, cov = _moments(df, y, xs)
     k = len(xs)
     if n <= k + 1:
         raise ValueError("not enough rows for the number of regressors")
-    sxx = cov[1:, 1:] * (n - 1)
-    sxy = cov[1:, 0] * (n - 1)
-    syy = cov[0, 0] * (n - 1)
-    if np.linalg.matrix_rank(sxx) < k:
-        raise ValueError("regressors are exactly collinear; standard errors are undefined")
-    inv = np.linalg.inv(sxx)
-    beta = inv @ sxy
-    b0 = means[0] - means[1:] @ beta
-    rss = max(syy - beta @ sxy, 0.0)
+    collinear = ValueError("regressors are exactly collinear; standard errors are undefined")
+    sd = np.sqrt(np.diag(cov))
+    if not np.all(sd[1:] > 0):
+        raise collinear
+    scale = np.where(sd > 0, sd, 1.0)
+    corr = cov / np.outer(scale, scale)
+    if k and np.linalg.cond(corr[1:, 1:]) > ILL_CONDITIONED:
+        r = triangular_factor(df.select(*xs, y).na.drop(), [*xs, y], np.append(means[1:], means[0]),
+                              np.append(scale[1:], scale[0]))
+        if np.min(np.abs(np.diag(r)[:k])) < COLLINEAR * math.sqrt(n):
+            raise collinear
+        back = np.linalg.inv(r[:k, :k])
+        b, unexplained = back @ r[:k, k], float(r[k, k] ** 2) if len(r) > k else 0.0
+        inv = back @ back.T
+    else:
+        inv = np.linalg.inv(corr[1:, 1:]) / (n - 1) if k else np.zeros((0, 0))
+        b = inv @ corr[1:, 0] * (n - 1)
+        unexplained = max((corr[0, 0] - b @ corr[1:, 0]) * (n - 1), 0.0)
+    inv = inv / np.outer(sd[1:], sd[1:])
+    beta, rss, tss = b * scale[0] / sd[1:], unexplained * scale[0] ** 2, cov[0, 0] * (n - 1)
     s2 = rss / (n - k - 1)
     xbar = means[1:]
     cov_b = np.zeros((k + 1, k + 1))
     cov_b[1:, 1:] = s2 * inv
     cov_b[0, 1:] = cov_b[1:, 0] = -s2 * (inv @ xbar)
     cov_b[0, 0] = s2 * (1.0 / n + xbar @ inv @ xbar)
-    return OLSFit([INTERCEPT, *xs], np.concatenate([[b0], beta]), cov_b, n, k, rss, syy)
+    return OLSFit([INTERCEPT, *xs], np.concatenate([[means[0] - xbar @ beta], beta]), cov_b, n, k, rss, tss)
 
 
 def coef_table(spark, names, coef, se, stat, p, crit) -> DataFrame:
@@ -292,6 +315,8 @@ def regplot_line(df: DataFrame, x: str, y: str, grid: int = 100, level: float =
               F.regr_syy("y", "x").alias("syy"), F.regr_sxy("y", "x").alias("sxy"),
               F.regr_avgx("y", "x").alias("mx"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
     n = int(r.n)
+    if n < 3 or not r.sxx:                 # no line, or no error to base a band on
+        return df.sparkSession.createDataFrame([], "x double, fit double, ci_low double, ci_high double")
     s = math.sqrt(max(r.syy - r.b * r.sxy, 0.0) / (n - 2))
     tcrit = t_ppf(0.5 + level / 2, n - 2)
     step = (r.hi - r.lo) / (grid - 1)

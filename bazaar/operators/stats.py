@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 from ..functions.distributions import norm_ppf
 from ..functions.exprs import round_half_even
 from ..session import cut_lineage
+from .linalg import correlations
 from .quantiles import exact_quantiles, quantile_columns
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -99,14 +101,14 @@ def profile_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Pearson correlation of every pair a < b (pairwise complete rows),
-    one aggregation -> long form (variable_a, variable_b, corr)."""
+    """Pearson correlation of every pair a < b (pairwise complete rows), by one pass of
+    matrix sums over all columns -> long form (variable_a, variable_b, corr).  NULL
+    without two common rows, NaN where a column doesn't vary over them."""
     columns = list(columns or select_numeric(df))
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{i}")
-                    for i, (a, b) in enumerate(pairs)])
-    stack = ", ".join(f"'{a}', '{b}', `{i}`" for i, (a, b) in enumerate(pairs))
-    return wide.selectExpr(f"stack({len(pairs)}, {stack}) AS (variable_a, variable_b, corr)")
+    r = correlations(df, columns)
+    rows = [(a, columns[j], None if np.isinf(r[i, j]) else float(r[i, j]))
+            for i, a in enumerate(columns) for j in range(i + 1, len(columns))]
+    return df.sparkSession.createDataFrame(rows, "variable_a string, variable_b string, corr double")
 
 
 def corr_with_target(df: DataFrame, target: str, columns: Sequence[str] | None = None,
