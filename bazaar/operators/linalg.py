@@ -9,6 +9,7 @@ is set by the number of columns reaches the driver.
 from __future__ import annotations
 
 import io
+import math
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -151,3 +152,38 @@ def triangular_factor(df: DataFrame, columns: Sequence[str], centre: np.ndarray,
     merged = _tree(_doubles(df, columns).mapInArrow(run, PARTIAL),
                    lambda _, x, y: [np.linalg.qr(np.vstack([x[0], y[0]]), mode="r")])
     return merged[0][0]
+
+
+def poisson_draws(keys: np.ndarray, replicates: int) -> np.ndarray:
+    """(rows, replicates) draws from Poisson(1), each a function of the row's 64-bit
+    ``key`` and the replicate's number: a hash as a uniform number, inverted."""
+    with np.errstate(over="ignore"):
+        h = keys.astype(np.uint64)[:, None] + np.arange(1, replicates + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(31)
+    u = (h >> np.uint64(11)).astype(float) / float(1 << 53)
+    steps = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(19)])
+    return np.searchsorted(steps, u, "right").astype(np.int8)
+
+
+ROWS_AT_ONCE = 2048
+
+
+def poisson_sums(d: DataFrame, replicates: int, centre_x: float, centre_y: float) -> np.ndarray:
+    """``d`` (h, x, y) -> (5, replicates): sums of the drawn weights w, w x, w y, w x^2
+    and w x y of every replicate, of values less their centres."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slot, total = 0, np.zeros((5, replicates))
+        for batch in batches:
+            slot = batch.column(0)[0].as_py() if batch.num_rows else slot
+            keys, x, y = (batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2, 3))
+            x, y = x - centre_x, y - centre_y
+            columns = np.stack([np.ones(len(x)), x, y, x * x, x * y])
+            for at in range(0, len(x), ROWS_AT_ONCE):
+                some = slice(at, at + ROWS_AT_ONCE)
+                total += columns[:, some] @ poisson_draws(keys[some].view(np.uint64), replicates)
+        yield _row(slot, 0, [total])
+
+    placed = d.select(F.spark_partition_id().alias("slot"), "h", "x", "y")
+    return _tree(placed.mapInArrow(run, PARTIAL), lambda _, a, b: [a[0] + b[0]])[0][0]

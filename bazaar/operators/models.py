@@ -13,14 +13,16 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.distributions import f_sf, norm_ppf, t_ppf, t_sf2
 from ..session import cut_lineage
-from .linalg import triangular_factor
+from .linalg import poisson_sums, triangular_factor
 
 INTERCEPT = "Intercept"
 COEF_SCHEMA = ("variable string, coef double, std_err double, t double, p_value double, "
@@ -164,6 +166,92 @@ def design_matrix(df: DataFrame, xs: Sequence[str]) -> DataFrame:
     return df.select(F.lit(1.0).alias("constant"), *[F.col(c).cast("double").alias(c) for c in xs])
 
 
+#: Levels that one category of a formula may have.
+MAX_LEVELS = 200
+
+
+def _terms(formula: str) -> tuple[bool, list[list[str]]]:
+    """(intercept, terms as lists of factors) of ``1 + a + C(b) + a:C(b) + a*c``; ``0`` or
+    ``-1`` leaves the intercept out, ``a*b`` stands for ``a + b + a:b``."""
+    intercept, terms = True, []
+    for part in formula.replace("-", "+-").split("+"):
+        part = part.strip().replace(" ", "")
+        if part in ("", "1"):
+            continue
+        if part in ("0", "-1"):
+            intercept = False
+            continue
+        if part.startswith("-"):
+            raise ValueError(f"only the intercept can be left out, not {part[1:]!r}")
+        stars = part.split("*")
+        for size in range(1, len(stars) + 1):
+            for some in combinations(stars, size):
+                term = [f for s in some for f in s.split(":")]
+                if term not in terms:
+                    terms.append(term)
+    return intercept, sorted(terms, key=len)
+
+
+def formula_matrix(df: DataFrame, formula: str, keep: Sequence[str] = (), max_levels: int = MAX_LEVELS) -> DataFrame:
+    """Model matrix of a right-hand side such as ``wait_time + C(state) + price:C(state)``.
+
+    Numeric columns are taken as they are, ``C(column)`` (and any string or boolean
+    column) as a category: one 0/1 column ``column[T.level]`` per level but the least.
+    Without an intercept the first category keeps all its levels.  A category that
+    interacts with a numeric column without that column being a term of its own keeps
+    all its levels there.  Levels come from one distinct job for all categories; more
+    than ``max_levels`` raise an error.  Rows with a null in a used column are left out.
+    ``keep`` names columns to carry along in front."""
+    intercept, terms = _terms(formula)
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+
+    def column(factor: str) -> tuple[str, bool]:
+        name = factor[2:-1] if factor.startswith("C(") and factor.endswith(")") else factor
+        if name not in kinds:
+            raise ValueError(f"no column {name!r}")
+        return name, name != factor or not isinstance(kinds[name], T.NumericType)
+
+    factors = dict.fromkeys(f for t in terms for f in t)
+    used = list(dict.fromkeys(column(f)[0] for f in factors))
+    rows = df.select(*keep, *[c for c in used if c not in keep]).na.drop(subset=used) if used else df.select(*keep)
+    categories = list(dict.fromkeys(column(f)[0] for f in factors if column(f)[1]))
+    levels: dict[str, list] = {c: [] for c in categories}
+    if categories:
+        pairs = rows.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
+                                                for c in categories])).alias("x")).select("x.*").distinct()
+        # at most one level more than allowed of each category reaches the driver
+        few = pairs.withColumn("k", F.row_number().over(Window.partitionBy("c").orderBy("v"))).filter(F.col("k") <= max_levels + 1)
+        for r in few.orderBy("c", "k").collect():
+            levels[r.c].append(r.v)
+        for c, found in levels.items():
+            if len(found) > max_levels:
+                raise ValueError(f"category {c!r} has more than {max_levels} levels")
+            if isinstance(kinds[c], T.NumericType):
+                found.sort(key=float)
+
+    def coded(factor: str, full: bool) -> list[tuple[str, Column]]:
+        name, category = column(factor)
+        if not category:
+            return [(name, F.col(name).cast("double"))]
+        return [(f"{name}[{'' if full else 'T.'}{v}]", (F.col(name).cast("string") == F.lit(v)).cast("double"))
+                for v in levels[name][0 if full else 1:]]
+
+    out: list[tuple[str, Column]] = [("Intercept", F.lit(1.0))] if intercept else []
+    spanned = intercept
+    for term in terms:
+        products: list[tuple[str, Column]] = [("", F.lit(1.0))]
+        for f in term:
+            others = [g for g in term if g != f]
+            # all levels are wanted where the term without the category isn't in the model
+            margin = others in terms if others else spanned
+            full = column(f)[1] and not margin
+            products = [(f"{a}:{b}" if a else b, x * y) for a, x in products for b, y in coded(f, full)]
+        if len(term) == 1 and column(term[0])[1]:
+            spanned = True
+        out += products
+    return rows.select(*keep, *[x.alias(name) for name, x in out])
+
+
 def vif(df: DataFrame, xs: Sequence[str]) -> DataFrame:
     """Variance inflation factors of standardized regressors = diagonal of the
     inverse correlation matrix (one aggregation, k x k on the driver)."""
@@ -307,6 +395,40 @@ def residual_vs_fitted(df: DataFrame, y: str, xs: Sequence[str], bins: int = 50)
                  F.avg("residual").alias("residual_mean")))
 
 
+def bootstrap_line(df: DataFrame, x: str, y: str, key: Sequence[str], replicates: int = 1000, grid: int = 100,
+                   level: float = 0.95, seed: int = 42) -> DataFrame:
+    """Fitted line with its bootstrapped confidence band on a grid over [min x, max x]:
+    (x, fit, ci_low, ci_high), the percentiles of the replicates' lines.
+
+    Poisson bootstrap: in each replicate a row counts as often as a draw from Poisson(1)
+    says, so replicates need no resampling and all of them are sums of one pass.  The
+    draws follow from a hash of the row's ``key`` and the seed, not from its place, so
+    the band is the same for any partitioning; equal keys draw alike.  A task keeps
+    five sums per replicate; replicates that draw fewer than two different x have no
+    line and are left out.  Without three rows or two different x there are no rows."""
+    names = dict.fromkeys(key)
+    d = df.select(F.xxhash64(*[F.col(c) for c in names], F.lit(seed)).alias("h"),
+                  F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).filter("x IS NOT NULL AND y IS NOT NULL")
+    d = cut_lineage(d)
+    head = d.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"), F.avg("x").alias("mx"),
+                 F.avg("y").alias("my"), F.regr_slope("y", "x").alias("b")).first()
+    schema = "x double, fit double, ci_low double, ci_high double"
+    if head.n < 3 or head.lo == head.hi:
+        return df.sparkSession.createDataFrame([], schema)
+    sums = poisson_sums(d, replicates, head.mx, head.my)
+    w, wx, wy, wxx, wxy = sums
+    with np.errstate(all="ignore"):
+        slope = (wxy - wx * wy / w) / (wxx - wx * wx / w)
+        offset = wy / w - slope * wx / w
+    good = np.isfinite(slope) & (wxx - wx * wx / w > 1e-12 * np.maximum(wxx, 1e-300))
+    points = np.linspace(head.lo, head.hi, grid)
+    lines = head.my + offset[good, None] + slope[good, None] * (points - head.mx)
+    low, high = np.quantile(lines, [0.5 - level / 2, 0.5 + level / 2], axis=0)
+    fit = head.my + head.b * (points - head.mx)
+    rows = list(zip(points.tolist(), fit.tolist(), low.tolist(), high.tolist()))
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
 def regplot_line(df: DataFrame, x: str, y: str, grid: int = 100, level: float = 0.95) -> DataFrame:
     """Fitted line y = a + b x with its confidence band on a grid over [min x, max x]."""
     d = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).na.drop()

@@ -21,6 +21,7 @@ from ..functions.exprs import round_half_even
 from ..session import cut_lineage
 from .linalg import correlations
 from .quantiles import exact_quantiles, quantile_columns
+from .sketches import column_sketches, sketch_describe, sketch_profile
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -35,10 +36,15 @@ def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         [], list(columns), "variable", "value")
 
 
-def describe_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def describe_table(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """``DataFrame.describe()``: (variable, count, mean, std, min, q25, q50,
-    q75, max); std with ddof=1, quartiles exact with linear interpolation."""
+    q75, max); std with ddof=1, quartiles exact with linear interpolation.
+
+    ``exact=False`` reads the source once and takes quartiles from KLL sketches: values
+    of the data whose rank is within the stated error."""
     columns = list(columns or select_numeric(df))
+    if not exact:
+        return sketch_describe(column_sketches(df, columns))
     # several passes read the columns: the job that makes them runs once
     long = _long(cut_lineage(df.select(*columns)), columns)
     base = long.groupBy("variable").agg(
@@ -51,9 +57,11 @@ def describe_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
         "variable", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
-def medians(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(variable, median) for the numeric columns."""
+def medians(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
+    """(variable, median) for the numeric columns; ``exact=False`` as in ``describe_table``."""
     columns = list(columns or select_numeric(df))
+    if not exact:
+        return sketch_describe(column_sketches(df, columns), probs=[0.5]).select("variable", F.col("q50").alias("median"))
     return quantile_columns(df, columns, [0.5]).select("variable", F.col("quantile").alias("median"))
 
 
@@ -66,11 +74,17 @@ def schema_info(df: DataFrame) -> DataFrame:
             .select("column", types[F.col("column")].alias("dtype"), "non_null"))
 
 
-def profile_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def profile_table(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """Column profile: dtype, rows, nulls, distinct values, zeros, min, max,
-    mean, std, quartiles (numeric only) and the most frequent value."""
+    mean, std, quartiles (numeric only) and the most frequent value.
+
+    ``exact=False`` reads the source once and estimates distinct values, quartiles and
+    top values by sketches, with the errors stated in ``sketches``."""
     columns = list(columns or df.columns)
+    if not exact:
+        return sketch_profile(column_sketches(df, columns))
     numeric = set(select_numeric(df))
+    df = cut_lineage(df.select(*columns))          # several passes read the columns
     n_rows = df.select(F.count(F.lit(1))).scalar()
     long = df.select(*[F.struct(F.col(c).cast("string").alias("s"),
                                 (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("d"))
@@ -87,7 +101,7 @@ def profile_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     out = base.join(top, "variable", "left")
     num_cols = [c for c in columns if c in numeric]
     if num_cols:
-        q = quantile_columns(df, num_cols, QUARTILES)
+        q = exact_quantiles(_long(df, num_cols), "value", QUARTILES, by=["variable"], stored=True)
         qw = q.groupBy("variable").pivot("p", list(QUARTILES)).agg(F.first("quantile"))
         qw = qw.select("variable", *[F.col(f"`{p}`").alias(f"q{int(p * 100)}") for p in QUARTILES])
         out = out.join(qw, "variable", "left")
@@ -148,11 +162,11 @@ def histogram(df: DataFrame, column: str, bins: int = 10, by: str | None = None)
     emitted: ([by], bin, bin_lo, bin_hi, count).  Per group when ``by``."""
     keys = [by] if by else []
     x = F.col(column).cast("double")
-    d = df.select(*keys, x.alias("x")).filter(F.col("x").isNotNull())
+    d = cut_lineage(df.select(*keys, x.alias("x")).filter(F.col("x").isNotNull()))
     b = scalars(d.agg(F.min("x").alias("lo"), F.max("x").alias("hi")))
     lo, hi = b["lo"], b["hi"]
-    counts = d.groupBy(*keys, _bins(F.col("x"), lo, hi, bins).alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    grid = (d.select(*keys).distinct() if keys else d.limit(1).select()).select(
+    counts = cut_lineage(d.groupBy(*keys, _bins(F.col("x"), lo, hi, bins).alias("bin")).agg(F.count(F.lit(1)).alias("count")))
+    grid = (counts.select(*keys).distinct() if keys else counts.limit(1).select()).select(
         *keys, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     width = (hi - lo) / bins
     return (grid.join(counts, keys + ["bin"], "left")

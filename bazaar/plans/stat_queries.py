@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from statistics import NormalDist
 
 from pyspark.sql import functions as F
@@ -11,7 +12,9 @@ from ..operators import orders as O
 from ..operators import sellers as S
 from ..operators import stats as ST
 from ..operators import whatif as W
-from ..session import cut_lineage
+from ..session import cut_lineage, ensure_checkpoint_dir
+from ..sinks.datasets import read_datasets, union_datasets, write_datasets
+from ..sources.catalog import load_tables
 from ..sources.driver_tables import driver_catalog
 from . import model_sql as SQL
 from .order_queries import details_raw_sql, train_raw_sql
@@ -118,6 +121,30 @@ for _table in _TYPES:
     _profile_query(_table)
 
 
+@register("profile_sink", " UNION ALL ".join(f"SELECT '{t}' AS dataset, * FROM ({_profile_sql(t)}) p_{t}" for t in _TYPES))
+def q_profile_sink(spark, sf_dir):
+    """Six profiles written as one version of a report, and read back."""
+    tables, path = driver_catalog(spark, sf_dir), f"{ensure_checkpoint_dir(spark)}/profiles-{uuid.uuid4().hex}"
+    write_datasets({t: stable_doubles(ST.profile_table(tables[t])) for t in _TYPES}, path)
+    return union_datasets(read_datasets(spark, path))
+
+
+_REVIEW_TEXT = """review_comment_message || chr(10) || '"' || coalesce(review_comment_title, '') || '",' || chr(10) || chr(10)"""
+
+
+@register("load_tables_reviews", f"""SELECT review_id::VARCHAR AS review_id, order_id::VARCHAR AS order_id, review_score,
+    review_comment_title, {_REVIEW_TEXT} AS review_comment_message, review_creation_date, review_answer_timestamp
+    FROM ol_order_reviews""")
+def q_load_tables(spark, sf_dir):
+    """Reviews written as CSV files whose texts hold quotes and line breaks, and loaded."""
+    folder = f"{ensure_checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+    text = F.concat("review_comment_message", F.lit('\n"'), F.coalesce("review_comment_title", F.lit("")), F.lit('",\n\n'))
+    (driver_catalog(spark, sf_dir)["order_reviews"].withColumn("review_comment_message", text)
+     .write.options(header=True, escape='"', ignoreTrailingWhiteSpace=False, timestampNTZFormat="yyyy-MM-dd HH:mm:ss")
+     .csv(f"{folder}/olist_order_reviews_dataset.csv"))
+    return load_tables(spark, folder)["order_reviews"]
+
+
 def _pairs(cols):
     return [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
 
@@ -243,9 +270,8 @@ SELECT '{x}', {r6('b')}, {r6(f'sqrt({s2} / sxx)')}, {r6(f'b / sqrt({s2} / sxx)')
 def _uni(spark, sf_dir, y, x):
     d = _train(spark, sf_dir)
     coefs, stats = MD.ols(d, y, [x])
-    r2, n = stats.select("r2").first()[0], stats.select("n").first()[0]
-    return stable_doubles(coefs.select("variable", "coef", "std_err", "t", F.lit(r2).alias("r2"),
-                                       F.lit(n).cast("long").alias("n")))
+    fit = stats.first()
+    return stable_doubles(coefs.select("variable", "coef", "std_err", "t", F.lit(fit.r2).alias("r2"), F.lit(fit.n).alias("n")))
 
 
 @register("ols_review_on_wait", _uni_sql("review_score", "wait_time"))
@@ -374,8 +400,8 @@ def q_logit_fit(spark, sf_dir):
     " UNION ALL ".join(f"SELECT '{v}' AS variable, {r6(f'm.b{i}')} AS linear_coef, {r6(f'g.b{i}')} AS logit_coef FROM m, g"
                        for i, v in enumerate(LOGIT_FEATURES, 1))))
 def q_coef_compare(spark, sf_dir):
-    d = cut_lineage(ST.zscore(_train(spark, sf_dir).select("review_score", "dim_is_five_star", *LOGIT_FEATURES),
-                              LOGIT_FEATURES, ddof=1))
+    rows = cut_lineage(_train(spark, sf_dir).select("review_score", "dim_is_five_star", *LOGIT_FEATURES))
+    d = ST.zscore(rows, LOGIT_FEATURES, ddof=1)
     lin, _ = MD.ols(d, "review_score", LOGIT_FEATURES)
     lg, _ = MD.logit(d, "dim_is_five_star", LOGIT_FEATURES)
     return stable_doubles(MD.coef_compare(lin, lg))
