@@ -78,15 +78,18 @@ class PieceEncoder:
         inside = {c for pair in self.joined for c in pair}
         self.by_word = (self.has_bytes and "\n" not in inside and not any(p[1] == SPACE != p[0] for p in self.joined)
                         and lib.normalize(" a  b ") == f"{SPACE}{SPACE}a{SPACE}{SPACE}b{SPACE}")
-        # marks: characters beside letters and digits that follow only marks and spaces in a piece
+        # marks: characters beside letters and digits.  A text without the few others that
+        # stand before a mark in some piece is also cut before every run of marks
         marks = {c for c in inside if not c.isalnum()} - {SPACE}
-        while odd := {p[1] for p in self.joined if p[1] in marks and p[0] not in marks and p[0] != SPACE}:
-            marks -= odd
+        before = {p[0] for p in self.joined if p[1] in marks and p[0] not in marks} - {SPACE}
         alone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in inside)
         mark = "".join(map(re.escape, sorted(marks)))
         rest = f"[^{SPACE}{alone}{mark}]"
-        self.words = re.compile("|".join([f"{SPACE}+[{mark}]*{rest}*", f"{rest}+", f"[{mark}]+{rest}*", f"[{alone}]+"]) if mark
-                                else f"{SPACE}+{rest}*|{rest}+|[{alone}]+")
+        self.coarse = re.compile(f"{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+|[{alone}]+")
+        self.words = re.compile("|".join([f"{SPACE}+[{mark}]*{rest}*", f"{rest}+", f"[{mark}]+{rest}*", f"[{alone}]+"]))
+        self.joins_mark = re.compile("[" + "".join(map(re.escape, sorted(before))) + "]") if before else None
+        if not marks or any(c.isascii() for c in before):
+            self.words = self.coarse
         self._pair_table()
         self.fresh: dict[str, tuple[int, ...]] = {}
         self.old: dict[str, tuple[int, ...]] = {}
@@ -130,8 +133,9 @@ class PieceEncoder:
         return out
 
     def _pair_table(self):
-        """All pairs of symbols that join to a piece, sorted, with rank and piece.  A
-        symbol is the id of its piece; a character without one is ``size + code point``."""
+        """A table, addressed by hash, of all pairs of symbols that join to a piece, with
+        rank and piece.  A symbol is the id of its piece; a character without one is
+        ``size + code point``."""
         size = self.library.get_piece_size()
         wide = size + 0x110000
         symbol = lambda x: self.id_of.get(x, size + ord(x) if len(x) == 1 else None)
@@ -142,20 +146,39 @@ class PieceEncoder:
                 if a is not None and b is not None:
                     pairs[a * wide + b] = (self.rank[p], i)
         self.size, self.wide = size, wide
-        self.pair = np.array(sorted(pairs), np.int64)
-        self.pair_rank = np.array([pairs[k][0] for k in self.pair.tolist()], np.int32)
-        self.pair_piece = np.array([pairs[k][1] for k in self.pair.tolist()], np.int32)
+        keys = np.array(list(pairs), np.int64)
+        bits = max(10, (4 * len(keys)).bit_length())
+        self.shift, self.slots = np.uint64(64 - bits), np.full(1 << bits, -1, np.int64)
+        self.pair_rank, self.pair_piece = np.full(1 << bits, NONE, np.int32), np.zeros(1 << bits, np.int32)
+        at, left = self._home(keys), np.arange(len(keys))
+        while len(left):                       # of the keys that want a free slot one gets it
+            free = np.flatnonzero(self.slots[at[left]] < 0)
+            slot, first = np.unique(at[left[free]], return_index=True)
+            self.slots[slot] = keys[left[free[first]]]
+            left = np.delete(left, free[first])
+            at[left] = (at[left] + 1) & ((1 << bits) - 1)
+        values = np.array(list(pairs.values()), np.int32).reshape(-1, 2)
+        self.pair_rank[at], self.pair_piece[at] = values[:, 0], values[:, 1]
         self.symbol = np.arange(size, wide, dtype=np.int32)
         for p, i in self.id_of.items():
             if len(p) == 1:
                 self.symbol[ord(p)] = i
 
+    def _home(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
     def _ranks(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rank, piece) of joining the symbols; rank ``NONE`` where they don't join."""
-        key = a.astype(np.int64) * self.wide + b
-        at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
-        good = (self.pair[at] == key) & (b >= 0)
-        return np.where(good, self.pair_rank[at], NONE), self.pair_piece[at]
+        key = (a.astype(np.int64) * self.wide + b).ravel()
+        at = self._home(key)
+        there = self.slots[at]
+        on = np.flatnonzero((there != key) & (there >= 0))
+        while len(on):
+            at[on] = (at[on] + 1) & (len(self.slots) - 1)
+            there[on] = now = self.slots[at[on]]
+            on = on[(now != key[on]) & (now >= 0)]
+        rank = np.where((there == key) & (b.ravel() >= 0), self.pair_rank[at], NONE)
+        return rank.reshape(a.shape), self.pair_piece[at].reshape(a.shape)
 
     def _side_by_side(self, words: list[str]) -> list[list[int]]:
         """Symbols that remain of every word when all agendas are empty."""
@@ -218,7 +241,8 @@ class PieceEncoder:
         normal = self.library.normalize(texts)
         if not self.by_word:
             return [self.ids(t) if t else [] for t in normal]
-        words = [self.words.findall(t) for t in normal]
+        joins = self.joins_mark
+        words = [(self.coarse if joins and joins.search(t) else self.words).findall(t) for t in normal]
         fresh, old = self.fresh, self.old
         new = []
         for w in set(chain.from_iterable(words)) - fresh.keys():
