@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from ..operators import orders as O
+from ..session import ensure_checkpoint_dir
 from ..sources.driver_tables import driver_catalog
+from ..sources.layout import with_order_layout
 from .registry import days, pos0, r6, register, stable_doubles
 
 PUR, APPR, CAR, DLV, EST = ("order_purchase_timestamp", "order_approved_at",
@@ -188,6 +192,14 @@ def q_order_training_data(spark, sf_dir):
     return stable_doubles(O.training_data(_cat(spark, sf_dir)))
 
 
+@register("order_training_data_bucketed", _train_sql(False))
+def q_order_training_bucketed(spark, sf_dir):
+    """The same rows from the layout bucketed by order_id."""
+    path = f"{ensure_checkpoint_dir(spark)}/layout-{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return stable_doubles(O.training_data(with_order_layout(_cat(spark, sf_dir), buckets, path)))
+
+
 @register("order_training_data_with_distance", _train_sql(True))
 def q_order_training_with_distance(spark, sf_dir):
     return stable_doubles(O.training_data(_cat(spark, sf_dir), with_distance=True))
