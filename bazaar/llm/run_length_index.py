@@ -1,8 +1,8 @@
 """A run-length index of byte strings: run-compressed Burrows-Wheeler transform
 with samples at run ends, and matching statistics streamed from it.
 
-Strings are joined with separators and their suffixes sorted by prefix doubling
-(to ``DEPTH`` symbols, which is more than any string here needs).  Of the
+Strings are joined with separators and their suffixes sorted by prefix doubling, to
+as many symbols as the longest string has.  Of the
 transform only its runs are kept, and for the first and last suffix of each run
 the text position and the length it shares with the suffix before, or after, it.
 Inside a run these lengths follow from the ones to the left: a suffix whose
@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import numpy as np
 
-DEPTH = 1024
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -56,8 +55,9 @@ def _suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
 
 
 class RunLengthIndex:
-    def __init__(self, strings: list[bytes], depth: int = DEPTH):
+    def __init__(self, strings: list[bytes]):
         lengths = np.array([len(s) for s in strings], np.int64)
+        depth = 1 << max(2, int(lengths.max(initial=0)).bit_length())      # above any string
         self.starts = np.concatenate(([0], np.cumsum(lengths + 1)))[:-1]
         raw = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8)
         text = raw.astype(np.uint16) + 1

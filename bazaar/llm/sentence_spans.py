@@ -67,15 +67,16 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     """Hashes of all runs: h1, h2, document, first sentence (in its document), sentences."""
     starts, ends, _ = words.word_bounds(data, offsets)
     d, _, _, w0, w1 = sentences(data, offsets)
-    base = words.hash_spans(data, starts[w0], ends[w1 - 1]) if len(d) else np.zeros(0, np.uint64)
+    one, two = (words.hash_spans(data, starts[w0], ends[w1 - 1], *base) if len(d) else np.zeros(0, np.uint64)
+                for base in ((), (words.OTHER_BASE,)))
     first_of = np.searchsorted(d, d)
     out: dict[str, list] = {k: [] for k in ("h1", "h2", "d", "first", "n")}
     h1 = h2 = np.zeros(len(d), np.uint64)
     size = w1 - w0
     for n in range(1, max(SENTENCES, WORDS) + 1):
         m = max(len(d) - n + 1, 0)
-        h1 = words.mix(h1[:m] * np.uint64(0xD6E8FEB86659FD93) + base[n - 1:n - 1 + m])
-        h2 = words.mix(h2[:m] * np.uint64(0xA0761D6478BD642F) + words.mix(base[n - 1:n - 1 + m] + np.uint64(n)))
+        h1 = words.mix(h1[:m] * np.uint64(0xD6E8FEB86659FD93) + one[n - 1:n - 1 + m])
+        h2 = words.mix(h2[:m] * np.uint64(0xA0761D6478BD642F) + words.mix(two[n - 1:n - 1 + m] + np.uint64(n)))
         count = w1[n - 1:n - 1 + m] - w0[:m]
         if n <= SENTENCES:
             ok = (count >= LONG_RUN_WORDS) | ((n == SENTENCES) & (count >= WORDS))
@@ -99,7 +100,9 @@ def _deal_runs(parts: int):
     def flush(held: list[dict[str, np.ndarray]]) -> pa.RecordBatch:
         c, again = _after_first({k: np.concatenate([h[k] for h in held]) for k in RUNS})
         c["known"] = again.astype(np.uint8)
-        return deal.blobs(RUNS, c, c["h1"], parts)
+        # what is known to go needs no comparison: it is dealt by row, so that a run that
+        # half of the corpus holds doesn't meet in one task
+        return deal.blobs(RUNS, c, np.where(again, words.mix(c["row"].astype(np.uint64)), c["h1"]), parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0

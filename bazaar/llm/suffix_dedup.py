@@ -329,8 +329,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
                   probe: int = PROBE, key: int = KEY, bucket_bytes: int = BUCKET_BYTES,
                   hot_segments: int = HOT_SEGMENTS) -> DataFrame:
-    """One row per input row: (id, n_bytes, n_removed, n_spans, kept_sha256, removed);
-    ``removed`` lists maximal byte ranges [begin, end)."""
+    """One row per input row: (id, n_bytes, n_removed, n_spans, kept_sha256, removed,
+    has_repeats); ``removed`` lists maximal byte ranges [begin, end)."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = common.with_row(common.numbered(docs, [id_col, text_col])).select(F.col(common.ROW).alias("row"), F.col(id_col).cast("long").alias("id"),
@@ -366,8 +366,9 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     nothing = F.expr("CAST(array() AS array<struct<begin:bigint,end:bigint>>)")
     out = info.join(classes, ["c1", "c2"]).join(cut, "row", "left")
     return out.select(
-        F.col("id").alias(id_col), "n_bytes",
+        F.col("id").alias(id_col), F.col("n_bytes"),
         F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0).cast("long"))).alias("n_removed"),
         F.when(whole, F.lit(1).cast("long")).otherwise(F.coalesce("n_spans", F.lit(0).cast("long"))).alias("n_spans"),
         F.when(whole, F.lit(EMPTY_SHA)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
-        F.when(whole, all_of_it).otherwise(F.coalesce("removed", nothing)).alias("removed"))
+        F.when(whole, all_of_it).otherwise(F.coalesce("removed", nothing)).alias("removed")
+    ).withColumn("has_repeats", F.col("n_removed") > 0)

@@ -17,7 +17,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-_BASE_INV = pow(_BASE, -1, 1 << 64)
+#: Another odd number, for a second hash of the same bytes.
+OTHER_BASE = 0xC2B2AE3D27D4EB4F
 _SEGMENT = 1 << 21
 _powers: dict[int, np.ndarray] = {}
 
@@ -44,16 +45,16 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of data[start:end] for every span, by prefix sums of a polynomial."""
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _BASE) -> np.ndarray:
+    """Hash of data[start:end] for every span, by prefix sums of a polynomial in ``base``."""
     n = len(data)
     sums = np.zeros(n + 1, np.uint64)
     terms = data.astype(np.uint64)
     terms += np.uint64(1)
-    terms *= _power_table(_BASE, n + 1)[:n]
+    terms *= _power_table(base, n + 1)[:n]
     np.cumsum(terms, out=sums[1:])
     h = sums[ends] - sums[starts]
-    h *= _power_table(_BASE_INV, n + 1)[starts]
+    h *= _power_table(pow(base, -1, 1 << 64), n + 1)[starts]
     h += (ends - starts).astype(np.uint64)
     return mix(h)
 
@@ -76,16 +77,16 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, np.flatnonzero(stop) + 1, np.searchsorted(offsets, starts, "right") - 1
 
 
-def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _BASE) -> np.ndarray:
     """``span_hashes`` of ordered spans.  Beyond a few MB the data are taken in
     segments of whole spans, so scratch memory stays bounded."""
     if len(data) <= _SEGMENT:
-        return span_hashes(data, starts, ends)
+        return span_hashes(data, starts, ends, base)
     out, i = [np.zeros(0, np.uint64)], 0
     while i < len(starts):
         j = max(int(np.searchsorted(ends, starts[i] + _SEGMENT, "right")), i + 1)
         a = starts[i]
-        out.append(span_hashes(data[a:ends[j - 1]], starts[i:j] - a, ends[i:j] - a))
+        out.append(span_hashes(data[a:ends[j - 1]], starts[i:j] - a, ends[i:j] - a, base))
         i = j
     return np.concatenate(out)
 

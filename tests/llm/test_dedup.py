@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from bazaar.llm import grace_dedup, partenum_join, sentence_spans, suffix_dedup, words
 from bazaar.llm.components import connected_components
@@ -184,7 +185,7 @@ def test_matching_statistics():
     rng = random.Random(2)
     strings = ["".join(rng.choice("ab") for _ in range(rng.randint(1, 60))).encode() for _ in range(12)]
     strings += [strings[3][:20] + strings[4], b"\0\0ab\0", "né né né".encode()]
-    index = RunLengthIndex(strings, depth=128)
+    index = RunLengthIndex(strings)
     assert index.run_lengths.sum() == index.n
     got = index.matching_statistics()
     for s, begin in zip(strings, index.starts):
@@ -226,6 +227,19 @@ def test_suffix_removal(docs, rows):
         assert sum(w[2] > 0 for w in want) > 20
 
 
+@pytest.mark.parametrize("length", [600, 1500])
+def test_long_repeats(spark, length):
+    """Stretches far longer than the window, alone and within texts."""
+    rng = np.random.default_rng(length)
+    draw = lambda n: "".join(rng.choice(list("abcdefgh "), n))
+    shared = [draw(3000), draw(length), draw(length - 1)]
+    rows = [(k, draw(300) + shared[k % 3] + draw(200)) for k in range(9)] + [(20, shared[0]), (21, shared[0][:length + 7]), (22, None)]
+    got = suffix_dedup.removed_spans(spark.createDataFrame(rows, "doc_id long, text string"), length=length).collect()
+    want = brute_removed(rows, length)
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted(want)
+    assert sum(r.n_removed for r in got) > 5 * 3000 and all(r.has_repeats == (r.n_removed > 0) for r in got)
+
+
 def test_suffix_removal_in_small_chunks_and_empty(docs, rows, empty, monkeypatch):
     assert suffix_dedup.removed_spans(empty).count() == 0
     data = np.frombuffer(rows[-2][1].encode(), np.uint8)
@@ -235,6 +249,27 @@ def test_suffix_removal_in_small_chunks_and_empty(docs, rows, empty, monkeypatch
     assert np.array_equal(np.concatenate(whole), np.concatenate(parts))
 
 
+def test_two_hashes_are_independent():
+    data = np.random.default_rng(0).integers(97, 123, 4000).astype(np.uint8)
+    at = np.arange(3900)
+    one, two = words.span_hashes(data, at, at + 40), words.span_hashes(data, at, at + 40, words.OTHER_BASE)
+    assert len(np.unique(one)) == len(np.unique(two)) and not np.any(one == two)
+    data[2000:2040] = data[100:140]
+    again = words.span_hashes(data, at, at + 40, words.OTHER_BASE)
+    assert again[2000] == again[100]
+
+
+def test_known_runs_are_dealt_by_row(spark):
+    """A run that all texts hold: what one task finds again is spread over the parts."""
+    import pyarrow as pa
+    from bazaar.llm import deal, sentence_spans
+    text = "One sentence with more than enough words to be a run of its own here. Another of them with ten words or more. And a third one."
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000)), pa.array(range(1000)), pa.array([text] * 1000)], names=["row", "id", "text"])
+    dealt = list(sentence_spans._deal_runs(8)(iter([batch])))
+    known = [int(np.frombuffer(b, np.uint8).sum()) for x in dealt for b in x.column("known").to_pylist()]
+    assert sum(known) > 900 and max(known) < 0.25 * sum(known)
+
+
 def test_long_texts_hash_like_short_ones(monkeypatch):
     data = np.frombuffer(("Some wörds " * 3000).encode(), np.uint8)
     offsets = np.array([0, len(data)])
