@@ -368,3 +368,43 @@ def test_bounded_fit_in_any_number_of_tasks(spark, monkeypatch, per_task):
     assert (np.isclose(part * keep, t)).any()
     lang = t.sum(0) ** raking.ALPHA
     assert np.abs(part.sum(0) - lang / lang.sum()).max() < 1e-3
+
+
+# -- notices -------------------------------------------------------------------------
+
+def labels_of(text):
+    known = [license_scan.Notice(p, label) for p, label in license_scan.NOTICES.items()]
+    return license_scan.scan(text.encode(), known, {p.encode(): label for p, label in license_scan.BASE_PHRASES.items()})
+
+
+def test_short_names_are_not_guessed():
+    for text in ("this is license free", "hit license limits", "a bid license", "cc be", "bsp license"):
+        assert labels_of(text)["labels"] == ""
+    assert labels_of("the ISC license, the BSD license")["labels"] == "bsd,isc"
+
+
+def test_grants_with_typos():
+    mit = ("Permission is herby granted, free of charge, to any person obtaining a copy\nof this software and asociated "
+           "documentation files (the \"Software\")")
+    got = labels_of("Copyright (c) 2020\n" + mit)
+    assert got["labels"] == "mit" and got["base_labels"] == "" and got["spans"][0]["edits"] == 2 and got["spans"][0]["word"] == 3
+    bsd = "Redistribution and use in source and binary forms, with or without modificaton, are permited provided that the following conditions are met:"
+    assert labels_of(bsd)["labels"] == "bsd"
+    assert labels_of("// SPDX-License-Identifier: Zlib")["labels"] == "spdx"
+    assert labels_of(bsd.replace("source", "sauce").replace("binary", "canary").replace("forms", "farms"))["labels"] == ""
+    for phrase, label in license_scan.NOTICES.items():
+        assert label in labels_of(f"x {phrase.title()}. y")["labels"].split(",")
+
+
+def test_many_notices_take_linear_time():
+    import time
+    one = "The MIT License. Licensed under the Apache Licence, Version 2.0! Mozila Public License; permission is herby granted free of charge. "
+    took = []
+    for n in (1000, 8000):
+        start = time.perf_counter()
+        got = labels_of(one * n)
+        took.append(time.perf_counter() - start)
+        assert got["n_base"] == n and got["last_word"] > 15 * (n - 1)
+        assert sum(s["label"] == "mpl" for s in got["spans"]) == n
+    assert took[1] < 24 * took[0] + 1
+    print(took)
