@@ -408,3 +408,67 @@ def test_many_notices_take_linear_time():
         assert sum(s["label"] == "mpl" for s in got["spans"]) == n
     assert took[1] < 24 * took[0] + 1
     print(took)
+
+
+# -- secrets, held out ---------------------------------------------------------------
+
+def planted_secrets(spark):
+    """Documents with (kind) findings: labelled by their signs, or bare."""
+    import random
+    rng = random.Random(9)
+    syllables = ["ka", "ro", "ti", "men", "sal", "vo", "dir", "pe", "lun", "gra"]
+    word = lambda n: "".join(rng.choice(syllables) for _ in range(n))
+    vocabulary = [word(2) for _ in range(60)]
+    prose = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    secret = lambda: "".join(rng.choice("0123456789abcdefABCDEFGHJKLMxyzw") for _ in range(rng.randint(20, 40)))
+    rows, kind = [], {}
+    for i in range(600):
+        k = ("named", "word", "bare", "path", "plain")[i % 5]
+        x = {"named": secret(), "word": word(9), "bare": secret(), "path": "/".join(word(2) for _ in range(5)), "plain": ""}[k]
+        body = {"named": f'{rng.choice(["token", "apikey", "password"])} = "{x}"', "word": x, "bare": f"({x})", "path": f"({x})", "plain": ""}[k]
+        rows.append((i, f"{prose(20)} {body} {prose(20)}"))
+        kind[i] = k
+    return spark.createDataFrame(rows, "doc_id long, text string"), kind
+
+
+def test_forest_carries_over_to_findings_without_signs(spark):
+    docs, kind = planted_secrets(spark)
+    got = [r for r in secret_forest.secret_scan(docs).collect()]
+    label = {r.doc_id: r.label for r in got}
+    assert all((label[i] == 1.0) == (k == "named") for i, k in kind.items() if k != "plain")
+    assert all((label[i] == 0.0) == (k == "word") for i, k in kind.items() if k != "plain")
+    bare = [r.is_secret for r in got if kind[r.doc_id] == "bare"]
+    path = [r.is_secret for r in got if kind[r.doc_id] == "path"]
+    assert sum(bare) > 0.9 * len(bare) and sum(path) < 0.1 * len(path)     # the labels' rule knows neither
+    quality = secret_forest.held_out(secret_forest.context_labels(secret_forest.features(docs)))
+    assert quality["precision"] > 0.95 and quality["recall"] > 0.95
+
+
+def test_secret_features_by_hand(spark):
+    docs, _ = planted_secrets(spark)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    uses = Counter(w for t in texts.values() for w in re.split(r"[^a-zA-Z]+", t.lower()) if len(w) >= 4)
+    least = max(2.0, secret_forest.DICTIONARY_SHARE * sum(uses.values()))
+    grams = {w[k:k + 4] for w, n in uses.items() if n >= least for k in range(len(w) - 3)}
+    kinds = {c: k for k, cs in secret_forest.CLASSES.items() for c in cs}
+    rows = secret_forest.features(docs).collect()
+    assert len(rows) == 480
+    for r in rows:
+        c, words = r.candidate, texts[r.id].split()
+        assert words[r.word] == r.token and c in r.token
+        k = "".join(kinds[x] for x in c)
+        pieces = [c.lower()[i:i + 4] for i in range(len(c) - 3)]
+        want = {"n_chars": len(c), "digit_share": k.count("d") / len(c), "upper_share": k.count("u") / len(c),
+                "vowel_share": sum(x in "aeiouAEIOU" for x in c) / len(c), "is_path": float(c.count("/") >= 2),
+                "coverage": sum(p in grams for p in pieces) / len(pieces)}
+        want |= {f"change_{x}": sum(k[i:i + 2] == x for i in range(len(k) - 1)) / (len(c) - 1) for x in secret_forest.CHANGES}
+        for name, v in want.items():
+            assert abs(r[name] - v) < 1e-12, name
+        assert r.word_before == re.sub("[^a-z]", "", words[r.word - 1].lower())
+
+
+def test_dictionary_means_the_same_at_every_size(spark):
+    docs, _ = planted_secrets(spark)
+    once = {r.gram for r in secret_forest.dictionary_grams(docs, share=2e-3).collect()}
+    many = {r.gram for r in secret_forest.dictionary_grams(docs.union(docs).union(docs), share=2e-3).collect()}
+    assert once == many and once
