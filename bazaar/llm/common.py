@@ -28,14 +28,23 @@ def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 _blocks: list[list[str]] = []
 
 
+_last: list[str] = [""]
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the folder named by ``spark.checkpoint.dir``."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _last[0] = path
     if _blocks:
         _blocks[-1].append(path)
     return path
 
 
+def last_path() -> str:
+    """The path that was made last."""
+    return _last[0]
+
+
 def remove(spark: SparkSession, path: str) -> None:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

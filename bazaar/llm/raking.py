@@ -4,8 +4,7 @@ Documents fall into cells (source, language, topic).  A cell's weight is its sha
 tokens times one factor per category of each dimension, and at most a bound.  Fitting
 takes the dimensions in turn: the weights are summed by category (partial sums, so a
 category with a third of all cells is no hot key) and each category's factor is moved
-towards its target.  Only factors are kept between the rounds, one small table per
-dimension; the cells are stored once, in as many partitions as their number needs.
+towards its target.  The cells are stored in as many partitions as their number needs.
 
 First the weights are raked to the targets without bounds.  A document is kept with
 the probability of its cell, such that the expected share of tokens kept is
@@ -19,7 +18,7 @@ expected share of every category.  The draw is a hash of the id, so it is the sa
 at every run.
 
 Fitting ends when every marginal is within ``TOLERANCE`` of its target.  Targets that
-exclude each other can't be met: the largest difference then stops shrinking (or
+exclude each other can't be met: the largest difference then all but stops shrinking (or
 ``MAX_ROUNDS`` are over), fitting ends there, and column ``difference`` says how far
 the marginals are off.
 
@@ -41,7 +40,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +53,7 @@ ALPHA = 0.7
 KEEP_SHARE = 0.75
 TOLERANCE = 1e-5      # largest difference of a marginal share
 MAX_ROUNDS = 60       # the difference that is left then is returned
-STALLED = 0.999       # of the difference before: targets exclude each other
+PATIENCE = 5          # rounds in which the difference shrinks by under 2 %: targets exclude each other
 CELLS_PER_TASK = 200_000
 CELL_FILES = 32       # files of the table of cells before its rows are counted
 DIMENSIONS = ("source", "lang", "topic")
@@ -108,47 +106,42 @@ def _compact(df: DataFrame, rows: int, name: str) -> DataFrame:
     return common.materialize(df.coalesce(parts), name).coalesce(parts)
 
 
-def _weighted(cells: DataFrame, factors: dict[str, DataFrame]) -> DataFrame:
-    """``cells`` (dimensions, base, bound) with ``free``, the weight without bound."""
-    free = F.col("base")
-    for d, f in factors.items():
-        cells = cells.join(f.select(d, F.col("factor").alias(f"__{d}")), d)
-        free = free * F.col(f"__{d}")
-    return cells.withColumn("free", free).drop(*[f"__{d}" for d in factors])
-
-
 def _fit(cells: DataFrame, targets: dict[str, DataFrame], rows: int, tolerance: float, max_rounds: int
-         ) -> tuple[dict[str, DataFrame], float]:
-    """Factors of ``cells`` (dimensions, base, bound) and the largest difference of a
-    marginal that is left.
+         ) -> tuple[DataFrame, float]:
+    """``cells`` (with base and bound) with ``free``, the fitted weight without bound, and
+    the largest difference of a marginal that is left.
 
     A step sets a category's factor so that its cells reach the target if the full
     ones stay full and the others grow alike; if the full ones alone exceed the target
     all are scaled down.  Sums rise ever slower in the factor, so such steps come to
-    the target from below."""
-    full = F.col("free") >= F.col("bound")
-    factors = {}
+    the target from below.  The cells carry the product of their factors, so a step is
+    one sum by category and one join; the cells of the step before are removed."""
+    spark, full = cells.sparkSession, F.col("free") >= F.col("bound")
+    state = cells.withColumn("free", F.col("base"))
     for d, target in targets.items():
-        there = cells.groupBy(d).agg(F.lit(1.0).alias("factor")).join(target.select(d, "target"), d, "left")
-        factors[d] = _compact(there.fillna(0.0, ["target"]), rows, "factors")
-    last, left = math.inf, 0.0
+        state = state.join(target.select(d, F.col("target").alias(f"__{d}")), d, "left").fillna(0.0, [f"__{d}"])
+        state = state.withColumn(f"__off_{d}", F.lit(0.0))
+    least, left, waited, path = math.inf, 0.0, 0, None
     for _ in range(max_rounds):
-        steps = []
         for d in targets:
-            sums = _weighted(cells, factors).groupBy(d).agg(
+            now, goal = F.col("held") + F.col("moving"), F.col("goal")
+            sums = state.groupBy(d).agg(
                 F.sum(F.when(full, F.col("bound")).otherwise(0.0)).alias("held"),
-                F.sum(F.when(full, 0.0).otherwise(F.col("free"))).alias("moving"))
-            now = F.col("held") + F.col("moving")
-            step = (F.when((F.col("target") > F.col("held")) & (F.col("moving") > 0), (F.col("target") - F.col("held")) / F.col("moving"))
-                    .when(now > 0, F.col("target") / now).otherwise(0.0))
-            factors[d] = _compact(factors[d].join(sums, d).select(
-                d, (F.col("factor") * step).alias("factor"), "target", F.abs(now - F.col("target")).alias("off")), rows, "factors")
-            steps.append(factors[d].select("off"))
-        left = reduce(DataFrame.union, steps).agg(F.max("off")).first()[0] or 0.0
-        if left < tolerance or left > STALLED * last:
+                F.sum(F.when(full, 0.0).otherwise(F.col("free"))).alias("moving"), F.first(f"__{d}").alias("goal"))
+            step = (F.when((goal > F.col("held")) & (F.col("moving") > 0), (goal - F.col("held")) / F.col("moving"))
+                    .when(now > 0, goal / now).otherwise(0.0))
+            moved = state.drop(f"__off_{d}").join(sums.select(d, step.alias("__step"), F.abs(now - goal).alias(f"__off_{d}")), d)
+            state = _compact(moved.withColumn("free", F.col("free") * F.col("__step")).drop("__step"), rows, "state")
+            if path:
+                common.remove(spark, path)
+            path = common.last_path()
+        left = state.agg(F.max(F.greatest(*[F.col(f"__off_{d}") for d in targets], F.lit(0.0)))).first()[0] or 0.0
+        common.free_shuffles(spark)
+        waited = 0 if left < 0.98 * least else waited + 1
+        least = min(least, left)
+        if left < tolerance or waited == PATIENCE:
             break
-        last = left
-    return factors, left
+    return state.select(*cells.columns, "free"), left
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE,
@@ -160,8 +153,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOL
     if not total:
         return cells.withColumns({"weight": F.lit(0.0), "difference": F.lit(0.0)})
     stored = _compact(cells.withColumns({"base": F.col("tokens") / F.lit(float(total)), "bound": F.lit(math.inf)}), rows, "cells")
-    factors, left = _fit(stored, targets, rows, tolerance, max_rounds)
-    return _weighted(stored, factors).select(*cells.columns, F.col("free").alias("weight"), F.lit(left).alias("difference"))
+    fitted, left = _fit(stored, targets, rows, tolerance, max_rounds)
+    return fitted.select(*cells.columns, F.col("free").alias("weight"), F.lit(left).alias("difference"))
 
 
 def rebalance(cells: DataFrame, targets: dict[str, DataFrame], keep_share: float = KEEP_SHARE,
@@ -180,8 +173,8 @@ def rebalance(cells: DataFrame, targets: dict[str, DataFrame], keep_share: float
         goal = probabilities(there, keep / there.agg(F.sum("tokens")).first()[0])
         goals[d] = goal.select(d, (F.col("probability") * F.col("tokens") / F.lit(keep)).alias("target"))
     stored = _compact(cells.withColumns({"base": F.col("weight"), "bound": F.col("tokens") / F.lit(keep)}), rows, "cells")
-    factors, left = _fit(stored, goals, rows, tolerance, max_rounds)
-    kept = _weighted(stored, factors).withColumn("part", F.least("free", "bound"))
+    fitted, left = _fit(stored, goals, rows, tolerance, max_rounds)
+    kept = fitted.withColumn("part", F.least("free", "bound"))
     return kept.withColumn("difference", F.greatest("difference", F.lit(left))).select(*cells.columns, "part")
 
 
