@@ -20,6 +20,18 @@ from bazaar.session import ensure_checkpoint_dir
 STEP_BYTES = 1 << 19
 
 
+#: Documents in one Arrow batch of the pipeline: a Python worker, and the JVM beside it,
+#: hold a few copies of a batch's texts.
+BATCH_ROWS = 1000
+
+
+def modest_batches(spark: SparkSession) -> None:
+    """Send Python workers no more than ``BATCH_ROWS`` documents at a time."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -162,7 +174,16 @@ def numbered(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return stored
 
 
+#: Row numbers that may be sent to every task; more are joined by shuffling.
+LOST_SENT = 2_000_000
+
+
 def without_rows(stored: DataFrame, lost: DataFrame) -> DataFrame:
-    """A ``numbered`` frame without the rows in column ``row`` of ``lost``."""
+    """A ``numbered`` frame without the rows in column ``row`` of ``lost``.  Up to
+    ``LOST_SENT`` numbers, which are counted first, are broadcast, so that texts stay
+    where they are; beyond that both sides are shuffled."""
     name = stored.row_name
-    return stored.join(lost.select(F.col("row").alias(name)), name, "left_anti").drop(name)
+    gone = lost.select(F.col("row").alias(name))
+    if gone.count() <= LOST_SENT:
+        gone = F.broadcast(gone)
+    return stored.join(gone, name, "left_anti").drop(name)

@@ -310,8 +310,10 @@ def test_secrets_from_given_labels(spark, docs):
 
 # -- rows and fits -------------------------------------------------------------------
 
-def test_rows_keep_their_numbers(spark, docs):
+@pytest.mark.parametrize("sent", [0, 1000])
+def test_rows_keep_their_numbers(spark, docs, monkeypatch, sent):
     from bazaar.llm import common
+    monkeypatch.setattr(common, "LOST_SENT", sent)
     first, again = common.numbered(docs), common.numbered(docs, ["text"]).repartition(5)
     assert first.row_name not in docs.columns and set(first.columns) - {first.row_name} == set(docs.columns)
     got = {r[first.row_name]: r.text for r in first.collect()}
