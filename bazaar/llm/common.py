@@ -20,18 +20,6 @@ from bazaar.session import ensure_checkpoint_dir
 STEP_BYTES = 1 << 19
 
 
-#: Documents in one Arrow batch of the pipeline: a Python worker, and the JVM beside it,
-#: hold a few copies of a batch's texts.
-BATCH_ROWS = 1000
-
-
-def modest_batches(spark: SparkSession) -> None:
-    """Send Python workers no more than ``BATCH_ROWS`` documents at a time."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
-        spark.conf.set(key, BATCH_ROWS)
-
-
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
