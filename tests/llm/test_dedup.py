@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from bazaar.llm import grace_dedup, partenum_join, sentence_spans, suffix_dedup, words
@@ -276,3 +277,19 @@ def test_long_texts_hash_like_short_ones(monkeypatch):
     whole = words.word_hashes(data, offsets)[0]
     monkeypatch.setattr(words, "_SEGMENT", 500)
     assert np.array_equal(whole, words.word_hashes(data, offsets)[0])
+
+
+def test_sketches_of_a_group_come_once():
+    """A member's sketch is sent once per group, ahead of the buckets that name it."""
+    sets = [np.arange(40, dtype=np.uint64) * np.uint64(977) + np.uint64(shift) for shift in (0, 0, 5)]
+    sketches = [partenum_join.parity_sketch(s) for s in sets]
+    rows = [(7, None, i, i, 40, x) for i, x in enumerate(sketches)]
+    rows += [(7, b, i, None, None, None) for b in (1, 2, 3) for i in range(3)]
+    rows += [(8, None, 0, 0, 40, sketches[0]), (8, None, 1, 0, 40, sketches[1])]          # one component: no pair
+    rows += [(8, 4, i, None, None, None) for i in range(2)]
+    kinds = [pa.int64()] * 5 + [pa.binary()]
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[k] for r in part], kind) for k, kind in enumerate(kinds)],
+                                          names=["grp", "bucket", "rep", "comp", "n", "sketch"])
+               for part in (rows[:5], rows[5:])]
+    found = [tuple(r.values()) for batch in partenum_join._across(iter(batches)) for r in batch.to_pylist()]
+    assert found == [(0, 1)]
