@@ -150,7 +150,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
          window: int = WINDOW, n_open: int = OPEN) -> DataFrame:
     """One row per piece: (id, start, length, ids_crc32, doc_tokens, sequence_id, offset)."""
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    table = common.materialize(base.mapInArrow(_pack_texts(tokenizer or tokens.default_tokenizer(), window, n_open), PIECES),
+    table = common.materialize(base.mapInArrow(common.lean(_pack_texts(tokenizer or tokens.default_tokenizer(), window, n_open)), PIECES),
                                "packed-0")
     done = [table.filter("share IS NULL")]
     level = 0
@@ -162,7 +162,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
         # the k-th share goes to the k-th task
         items = items.repartitionByRange(shares, "share") if shares > 1 else items.coalesce(1)
         table = common.materialize(items.sortWithinPartitions("share", "id", "start")
-                                   .mapInArrow(_pack_again(level, shares == 1, window, n_open), PIECES), f"packed-{level}")
+                                   .mapInArrow(common.lean(_pack_again(level, shares == 1, window, n_open)), PIECES), f"packed-{level}")
         done.append(table.filter("share IS NULL"))
         if shares == 1:
             break

@@ -85,7 +85,7 @@ def profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", to
         F.coalesce("source", F.lit("")).alias("source"), F.coalesce("lang", F.lit("")).alias("lang"),
         F.col(text_col).alias("text"))
     kinds = "row long, id long, source string, lang string, n_tokens long, slices array<long>"
-    table = common.materialize(base.mapInArrow(_profile(topics), kinds), "profiles")
+    table = common.materialize(base.mapInArrow(common.lean(_profile(topics)), kinds), "profiles")
     corpus = table.agg(*[F.sum(F.col("slices")[k]).alias(f"s{k}") for k in range(topics)]).first()
     # lift of a slice: its count here over its count in the corpus; the first largest wins
     lift = F.array(*[F.col("slices")[k] / F.lit(float(max(corpus[k] or 0, 1))) for k in range(topics)])

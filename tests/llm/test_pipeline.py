@@ -2,8 +2,11 @@
 import os
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+
 import corpus_pipeline
-from bazaar.llm import common, queries
+from bazaar.llm import bounded_packing, common, grace_dedup, quality_forest, queries, raking
 from tests.llm.test_dedup import brute_components, lowered
 from tests.llm.test_text_operators import base_counts
 
@@ -46,3 +49,42 @@ def test_stages(spark):
 def test_queries_are_registered():
     assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert os.path.exists(corpus_pipeline.__file__)
+
+
+def test_workers_give_memory_back():
+    """Freed memory doesn't stay with a Python worker that Spark keeps."""
+    def anonymous():
+        with open("/proc/self/status") as f:
+            return next(int(x.split()[1]) for x in f if x.startswith("RssAnon")) / 1024
+
+    def work(batches):
+        for batch in batches:
+            arrow = [pa.array(np.full(2500, k)) for k in range(5000)]            # 100 MB each, in pieces below
+            plain = [np.full(2500, k) for k in range(5000)]                      # what allocators map on their own
+            pins = [np.full(100, k) for k in range(10)]
+            del arrow, plain
+            yield batch
+            del pins
+
+    batch = pa.RecordBatch.from_arrays([pa.array([1])], names=["a"])
+    before = anonymous()
+    assert [b.to_pydict() for b in common.lean(work)(iter([batch, batch]))] == [{"a": [1]}] * 2
+    assert anonymous() - before < 40
+
+
+def test_stages_run_lean(spark, docs, labels, monkeypatch):
+    """Every function that a pipeline stage hands to Python workers is a lean one."""
+    given, lean = [], common.lean
+    monkeypatch.setattr(common, "lean", lambda run: given.append(lean(run)) or given[-1])
+    plain = type(docs).mapInArrow
+
+    def seen(self, run, *a, **b):
+        assert any(run is x for x in given)
+        return plain(self, run, *a, **b)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", seen)
+    few = docs.filter("doc_id < 20")
+    for stage in (lambda: quality_forest.keep_good(few, labels), lambda: grace_dedup.drop_duplicates(few),
+                  lambda: raking.sample_mix(few), lambda: bounded_packing.pack(few)):
+        assert stage().columns
+    assert len(given) >= 6
