@@ -35,6 +35,7 @@ from ..session import cut_lineage
 
 BUCKETS = 1024
 BAND_ROWS = 100_000    # default of band_rows: what a single window task may rank
+SENT_ROWS = 100_000    # groups or bands that are broadcast
 BAND = ["_lo", "_hi", "_below"]
 
 
@@ -70,10 +71,16 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     x = F.col("_x")
     base = df.select(*keys, F.col(value).cast("double").alias("_x")).filter(x.isNotNull() & ~F.isnan(x))
     base = base if stored else cut_lineage(base)
-    stats = (base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo0"),
+    # one row per group, made once: every pass below joins it
+    stats = cut_lineage(base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo0"),
                                               F.max("_x").alias("_hi0")))
-    # stats has one row per group: AQE broadcasts it when small.
-    data = base.join(stats.select(*by, "_lo0", "_hi0"), by)
+    few = stats.count() * 2 * len(probs) <= SENT_ROWS
+
+    def sent(df: DataFrame) -> DataFrame:
+        """Few groups or bands go to every task, so that the rows stay where they are."""
+        return F.broadcast(df) if few else df
+
+    data = base.join(sent(stats.select(*by, "_lo0", "_hi0")), by)
     data = data.select(*by, "_x", _bucket(x, F.col("_lo0"), F.col("_hi0")).alias("_b1"))
     targets = (
         stats.select(*by, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
@@ -96,7 +103,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     while state.filter(is_open).limit(1).count():
         by_magnitude = not by_magnitude
         bands = state.filter(is_open).select(*bkeys).dropDuplicates()
-        hist = (data.join(bands, by + ["_b1"]).filter(x.between(F.col("_lo"), F.col("_hi")))
+        hist = (data.join(sent(bands), by + ["_b1"]).filter(x.between(F.col("_lo"), F.col("_hi")))
                 .groupBy(*bkeys, _bucket(x, F.col("_lo"), F.col("_hi"), by_magnitude).alias("_b"))
                 .agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_blo"), F.max("_x").alias("_bhi"))
                 .withColumn("_base", F.col("_below")))
@@ -109,11 +116,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     open_bands = state.filter(F.col("_lo") < F.col("_hi"))
     bands = open_bands.select(*bkeys).dropDuplicates()
     wb = Window.partitionBy(*bkeys).orderBy("_x")
-    ranked = (data.join(bands, by + ["_b1"]).filter(x.between(F.col("_lo"), F.col("_hi")))
+    ranked = (data.join(sent(bands), by + ["_b1"]).filter(x.between(F.col("_lo"), F.col("_hi")))
               .select(*bkeys, "_x", (F.row_number().over(wb) - 1 + F.col("_below")).alias("_k")))
     picked = open_bands.join(ranked, bkeys).filter(F.col("_k") == F.col("_rank")).select(
         *by, "_rank", F.col("_x").alias("_v"))
-    values = const.unionByName(picked)
+    values = cut_lineage(const.unionByName(picked))     # used twice, and the bands are ranked once
     v0 = values.select(*by, F.col("_rank").alias("_r0"), F.col("_v").alias("_v0"))
     v1 = values.select(*by, F.col("_rank").alias("_r1"), F.col("_v").alias("_v1"))
     out = targets.join(v0, by + ["_r0"]).join(v1, by + ["_r1"])

@@ -12,13 +12,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.distributions import norm_ppf
 from ..functions.exprs import round_half_even
-from ..session import cut_lineage
+from ..session import cut_lineage, store_columns
 from .linalg import correlations
 from .quantiles import exact_quantiles, quantile_columns
 from .sketches import column_sketches, sketch_describe, sketch_profile
@@ -83,37 +83,65 @@ def profile_table(df: DataFrame, columns: Sequence[str] | None = None, exact: bo
     columns = list(columns or df.columns)
     if not exact:
         return sketch_profile(column_sketches(df, columns))
-    numeric = set(select_numeric(df))
-    df = cut_lineage(df.select(*columns))          # several passes read the columns
-    n_rows = df.select(F.count(F.lit(1))).scalar()
-    long = df.select(*[F.struct(F.col(c).cast("string").alias("s"),
-                                (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("d"))
-                       .alias(c) for c in columns]).unpivot([], columns, "variable", "v") \
-        .select("variable", F.col("v.s").alias("s"), F.col("v.d").alias("d"))
-    base = long.groupBy("variable").agg(
-        F.count_if(F.col("s").isNull()).alias("n_null"), F.count_distinct("s").alias("n_distinct"),
-        F.count_if(F.col("d") == 0).alias("n_zeros"), F.min("d").alias("min"), F.max("d").alias("max"),
-        F.avg("d").alias("mean"), F.stddev_samp("d").alias("std"))
-    # the most frequent value; of equally frequent ones the largest, as a number where it is one
-    top = (long.filter(F.col("s").isNotNull()).groupBy("variable", "s").agg(F.count(F.lit(1)).alias("c"), F.first("d").alias("d"))
-           .groupBy("variable").agg(F.max_by(F.struct("s", "c"), F.struct("c", "d", "s")).alias("t"))
-           .select("variable", F.col("t.s").alias("top_value"), F.col("t.c").alias("top_count")))
-    out = base.join(top, "variable", "left")
-    num_cols = [c for c in columns if c in numeric]
-    if num_cols:
-        q = exact_quantiles(_long(df, num_cols), "value", QUARTILES, by=["variable"], stored=True)
-        qw = q.groupBy("variable").pivot("p", list(QUARTILES)).agg(F.first("quantile"))
-        qw = qw.select("variable", *[F.col(f"`{p}`").alias(f"q{int(p * 100)}") for p in QUARTILES])
-        out = out.join(qw, "variable", "left")
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    numeric = [isinstance(kinds[c], T.NumericType) for c in columns]
+    # several passes read the columns, each only those it needs: the job that makes them runs once
+    stored = store_columns(df.select(*[_value_key(c, kinds[c]).alias(f"c{i}") for i, c in enumerate(columns)]))
+    none = F.lit(None).cast("double")
+    aggs, rows, tops = [F.count(F.lit(1)).alias("n_rows")], [], None
+    for i, c in enumerate(columns):
+        d = F.col(f"c{i}").cast("double")
+        stats = {"n_null": F.count_if(F.col(f"c{i}").isNull())}
+        if numeric[i]:
+            stats |= {"n_zeros": F.count_if(d == 0), "min": F.min(d), "max": F.max(d), "mean": F.avg(d), "std": F.stddev_samp(d)}
+        aggs += [x.alias(f"{name}_{i}") for name, x in stats.items()]
+        rows.append(F.struct(
+            F.lit(i).alias("i"), F.col("n_rows"), F.col(f"n_null_{i}").alias("n_null"),
+            (F.col(f"n_zeros_{i}") if numeric[i] else F.lit(0).cast("long")).alias("n_zeros"),
+            *[(F.col(f"{x}_{i}") if numeric[i] else none).alias(x) for x in ("min", "max", "mean", "std")]))
+        top = _top_value(stored.select(F.col(f"c{i}").alias("v")), numeric[i]).select(F.lit(i).alias("i"), "*")
+        tops = top if tops is None else tops.unionByName(top)
+    base = stored.agg(*aggs).filter("n_rows > 0").select(F.inline(F.array(*rows)))
+    out = base.join(tops, "i", "left")
+    if any(numeric):
+        # numbered columns: integer keys make the joins of each pass cheap
+        at = [i for i in range(len(columns)) if numeric[i]]
+        long = stored.select(F.posexplode(F.array(*[F.col(f"c{i}").cast("double") for i in at])).alias("k", "value"))
+        q = exact_quantiles(long, "value", QUARTILES, by=["k"], stored=True)
+        qw = q.groupBy("k").pivot("p", list(QUARTILES)).agg(F.first("quantile"))
+        qw = qw.select(F.array(*map(F.lit, at))[F.col("k")].alias("i"),
+                       *[F.col(f"`{p}`").alias(f"q{int(p * 100)}") for p in QUARTILES])
+        out = out.join(qw, "i", "left")
     else:
-        out = out.select("*", *[F.lit(None).cast("double").alias(f"q{int(p * 100)}") for p in QUARTILES])
-    types = F.create_map(*[x for f in df.schema.fields if f.name in columns
-                           for x in (F.lit(f.name), F.lit(f.dataType.simpleString()))])
-    return out.select("variable", types[F.col("variable")].alias("dtype"), n_rows.alias("n_rows"),
+        out = out.select("*", *[none.alias(f"q{int(p * 100)}") for p in QUARTILES])
+    names = F.array(*[F.struct(F.lit(c).alias("variable"), F.lit(kinds[c].simpleString()).alias("dtype")) for c in columns])
+    return out.select(names[F.col("i")]["variable"].alias("variable"), names[F.col("i")]["dtype"].alias("dtype"), "n_rows",
                       "n_null", "n_distinct", "n_zeros", "min", "max", "mean", "std", "q25", "q50", "q75",
                       "top_value", "top_count")
 
 
+#: Types whose values are told apart, and stored, as they are; others as strings.
+_PLAIN = (T.IntegralType, T.FractionalType, T.DateType, T.TimestampNTZType, T.BooleanType)
+
+
+def _value_key(c: str, kind: T.DataType) -> Column:
+    return F.col(c) if isinstance(kind, _PLAIN) else F.col(c).cast("string")
+
+
+def _top_value(values: DataFrame, number: bool) -> DataFrame:
+    """(n_distinct, top_value, top_count) of column ``v``: each distinct value is sent
+    once per task, with its count.  Of equally frequent values the largest is the top
+    one, as a number where it is one."""
+    s, d = F.col("v").cast("string"), (F.col("v").cast("double") if number else F.lit(None).cast("double"))
+    keys = [F.col("v")]
+    if isinstance(values.schema["v"].dataType, (T.FloatType, T.DoubleType)):
+        keys.append(F.when((F.col("v") == 0) & (s == "-0.0"), True).alias("minus"))      # 0.0 and -0.0 are two values
+        s = F.when(F.col("minus"), F.lit("-0.0")).otherwise(s)
+    counts = values.filter("v IS NOT NULL").groupBy(*keys).agg(F.count(F.lit(1)).alias("c")).select(s.alias("s"), d.alias("d"), "c")
+    return (counts.agg(F.count(F.lit(1)).alias("n_distinct"), F.max_by(F.struct("s", "c"), F.struct("c", "d", "s")).alias("t"))
+            .select("n_distinct", F.col("t.s").alias("top_value"), F.col("t.c").alias("top_count")))
+
+
 def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair a < b (pairwise complete rows), by one pass of
     matrix sums over all columns -> long form (variable_a, variable_b, corr).  NULL

@@ -3,7 +3,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from bazaar.operators import sketches, stats
+from bazaar.operators import quantiles, sketches, stats
 from bazaar.sinks import datasets
 
 
@@ -107,3 +107,45 @@ def test_datasets_are_replaced_as_one(spark, tmp_path):
     now = datasets.read_datasets(spark, path)
     assert list(now) == ["a"] and now["a"].count() == 3
     assert len(list((tmp_path / "out" / "versions").iterdir())) == 2
+
+
+def test_exact_profile_sends_values_once(spark, monkeypatch):
+    """The profile stores columns and counts values as they are: no checkpoint of the rows,
+    zeros of both signs and NaN told apart, of equally frequent values the largest on top."""
+    rows = [(1, 0.0, "a", True), (9, -0.0, "b", None), (9, float("nan"), "b", False), (1, None, None, False), (None, 2.5, "a", None)]
+    df = spark.createDataFrame(rows, "n long, x double, `odd name` string, b boolean").withColumn(
+        "t", F.expr("date_add(DATE'2020-01-01', int(n))")).withColumn("m", F.col("n").cast("decimal(12,2)")).repartition(3)
+
+    def no_rows(df):
+        raise AssertionError("rows are checkpointed")
+
+    monkeypatch.setattr(stats, "cut_lineage", no_rows)
+    got = {r.variable: r for r in stats.profile_table(df).collect()}
+    assert set(got) == set(df.columns)
+    assert [(got[c].n_rows, got[c].n_null, got[c].n_distinct, got[c].n_zeros, got[c].top_value, got[c].top_count)
+            for c in df.columns] == [(5, 1, 2, 0, "9", 2), (5, 1, 4, 2, "NaN", 1), (5, 1, 2, 0, "b", 2), (5, 2, 2, 0, "false", 2),
+                                     (5, 1, 2, 0, "2020-01-10", 2), (5, 1, 2, 0, "9.00", 2)]
+    assert (got["n"].min, got["n"].max, got["n"].mean, got["n"].q25, got["n"].q50, got["n"].q75) == (1, 9, 5, 1, 5, 9)
+    assert got["odd name"].mean is None and got["odd name"].q50 is None and got["m"].dtype == "decimal(12,2)"
+    assert stats.profile_table(df.filter("n > 99")).count() == 0
+
+
+def test_quantile_passes_leave_rows_in_place(spark, monkeypatch):
+    """Rows meet the few groups and bands by broadcast, whatever Spark guesses of their size."""
+    plans, cut = [], quantiles.cut_lineage
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(quantiles, "cut_lineage", seen)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(5000).select(F.expr("id % 3").alias("g"), (F.col("id") * 7919 % 5003).cast("double").alias("v"))
+        got = {(r.g, r.p): r["quantile"] for r in quantiles.exact_quantiles(df, "v", [.25, .5], by=["g"], band_rows=50).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    data = np.array([i * 7919 % 5003 for i in range(5000)], float)
+    assert got == {(g, p): np.quantile(data[np.arange(5000) % 3 == g], p) for g in range(3) for p in (.25, .5)}
+    passes = [p for p in plans if "_b1" in p and "Scan ExistingRDD" in p and "Join" in p]
+    assert passes and "BroadcastHashJoin" in passes[0]
