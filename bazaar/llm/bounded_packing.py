@@ -33,6 +33,8 @@ WINDOW = 1024
 OPEN = 64      # open windows per partition
 FAN_IN = 8     # partitions whose open windows one task of the next level takes
 END_ID = 0
+STEP_BYTES = 1 << 20    # text encoded at a time: the arrays of a step are some thirty times as large
+MEMO_PIECES = 100_000   # kept by the encoder, as the worker that holds them outlives the job
 
 PIECES = ("id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "ids binary, share int")
@@ -114,11 +116,11 @@ def _first_id(level: int) -> int:
 
 def _pack_texts(tokenizer: str, window: int, n_open: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokens.encoder(tokenizer)
+        encoder = tokens.encoder(tokenizer, MEMO_PIECES)
         packer = Packer(window, n_open, _first_id(0))
         for batch in batches:
             docs = batch.column(0).to_pylist()
-            for first, end, data, offsets in common.text_steps(batch.column(1), tokens.STEP_BYTES):
+            for first, end, data, offsets in common.text_steps(batch.column(1), STEP_BYTES):
                 ids, bounds = encoder.encode(data, offsets)
                 for i in range(first, end):
                     own = np.append(ids[bounds[i - first]:bounds[i - first + 1]], np.uint32(END_ID))

@@ -22,6 +22,7 @@ from . import words
 MEMO_PIECES = 300_000    # per generation; two generations are kept
 LONG_PIECE = 96          # bytes; longer pieces are not kept
 STEP_BYTES = 4 << 20
+ENCODED_AT_ONCE = 4096   # pieces; the library's encodings are some hundred times a piece
 
 _WS = np.zeros(256, bool)
 _WS[[9, 10, 11, 12, 13, 32]] = True
@@ -83,7 +84,8 @@ def odd_documents(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class Encoder:
     """Encodes batches of texts; lives as long as its Python worker."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo_pieces: int | None = None):
+        self.memo_pieces = memo_pieces or MEMO_PIECES
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -93,8 +95,11 @@ class Encoder:
         self.old: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        out: list[bytes] = []
+        for at in range(0, len(texts), ENCODED_AT_ONCE):
+            found = self.tokenizer.encode_batch_fast(texts[at:at + ENCODED_AT_ONCE], add_special_tokens=False)
+            out.extend(np.array(e.ids, "<u4").tobytes() for e in found)
+        return out
 
     def _pieces(self, pieces: list[bytes]) -> list[bytes]:
         out: list = [self.fresh.get(p) for p in pieces]
@@ -106,7 +111,7 @@ class Encoder:
             out[i] = ids
             if len(pieces[i]) <= LONG_PIECE:
                 self.fresh[pieces[i]] = ids
-        if len(self.fresh) >= MEMO_PIECES:
+        if len(self.fresh) >= self.memo_pieces:
             self.old, self.fresh = self.fresh, {}
         return out
 
@@ -141,14 +146,14 @@ class Encoder:
         return ids, bounds
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, int | None], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, memo_pieces: int | None = None) -> Encoder:
     """The encoder of this Python worker for the tokenizer file at ``path``."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, memo_pieces) not in _encoders:
+        _encoders[path, memo_pieces] = Encoder(path, memo_pieces)
+    return _encoders[path, memo_pieces]
 
 
 def default_tokenizer() -> str:

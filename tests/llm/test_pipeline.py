@@ -88,3 +88,27 @@ def test_stages_run_lean(spark, docs, labels, monkeypatch):
                   lambda: raking.sample_mix(few), lambda: bounded_packing.pack(few)):
         assert stage().columns
     assert len(given) >= 6
+
+
+def test_stages_bound_arrow_batches(spark, docs, labels, monkeypatch):
+    """While a stage runs, no batch passes the bound by more than its last row; then the session's is back."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own, seen = spark.conf.get(key), []
+    monkeypatch.setattr(common, "BATCH_BYTES", 20_000)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["rows", "size"])
+
+    plain = type(docs).mapInArrow
+
+    def measured(self, run, *a, **b):
+        seen.extend(plain(self, sizes, "rows long, size long").collect())
+        return plain(self, run, *a, **b)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", measured)
+    for name, stage in corpus_pipeline.STAGES:
+        seen.clear()
+        assert stage(spark, docs.filter("doc_id < 320"), SF).columns
+        assert seen and all(r.rows == 1 or r["size"] <= 40_000 for r in seen), (name, max((r["size"], r.rows) for r in seen if r.rows > 1))
+        assert spark.conf.get(key) == own

@@ -148,6 +148,24 @@ def test_added_tokens_in_texts_encode_like_the_library():
     assert got[0] == [39305, 50256, 825]
 
 
+def test_encodings_are_held_a_few_at_a_time(rows, ids, monkeypatch):
+    """However many pieces are new, and whatever the memo keeps."""
+    monkeypatch.setattr(tokens, "ENCODED_AT_ONCE", 50)
+    encoder, asked = tokens.Encoder(tokens.default_tokenizer(), 200), []
+
+    class Counted:
+        def encode_batch_fast(self, texts, inner=encoder.tokenizer, **kwargs):
+            asked.append(len(texts))
+            return inner.encode_batch_fast(texts, **kwargs)
+
+    encoder.tokenizer = Counted()
+    texts = [(t or "").encode() for _, t in rows]
+    flat, at = encoder.encode(np.frombuffer(b"".join(texts), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in texts]))))
+    assert [flat[at[k]:at[k + 1]].tolist() for k in range(len(texts))] == ids
+    assert len(asked) > 10 and max(asked) <= 50
+    assert encoder.memo_pieces == 200 and not encoder.fresh and len(encoder.old) >= 200
+
+
 def pieces_by_row(found):
     out = defaultdict(list)
     for r in found:
