@@ -33,8 +33,6 @@ WINDOW = 1024
 OPEN = 64      # open windows per partition
 FAN_IN = 8     # partitions whose open windows one task of the next level takes
 END_ID = 0
-STEP_BYTES = 1 << 20    # text encoded at a time: the arrays of a step are some thirty times as large
-MEMO_PIECES = 100_000   # kept by the encoder, as the worker that holds them outlives the job
 
 PIECES = ("id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "ids binary, share int")
@@ -114,13 +112,13 @@ def _first_id(level: int) -> int:
     return level << 56 | TaskContext.get().partitionId() << 32
 
 
-def _pack_texts(tokenizer: str, window: int, n_open: int):
+def _pack_texts(tokenizer: str, window: int, n_open: int, step_bytes: int, memo_pieces: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokens.encoder(tokenizer, MEMO_PIECES)
+        encoder = tokens.encoder(tokenizer, memo_pieces)
         packer = Packer(window, n_open, _first_id(0))
         for batch in batches:
             docs = batch.column(0).to_pylist()
-            for first, end, data, offsets in common.text_steps(batch.column(1), STEP_BYTES):
+            for first, end, data, offsets in common.text_steps(batch.column(1), step_bytes):
                 ids, bounds = encoder.encode(data, offsets)
                 for i in range(first, end):
                     own = np.append(ids[bounds[i - first]:bounds[i - first + 1]], np.uint32(END_ID))
@@ -149,11 +147,13 @@ def _pack_again(level: int, last: bool, window: int, n_open: int):
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None,
-         window: int = WINDOW, n_open: int = OPEN) -> DataFrame:
-    """One row per piece: (id, start, length, ids_crc32, doc_tokens, sequence_id, offset)."""
+         window: int = WINDOW, n_open: int = OPEN, step_bytes: int = tokens.STEP_BYTES,
+         memo_pieces: int | None = None) -> DataFrame:
+    """One row per piece: (id, start, length, ids_crc32, doc_tokens, sequence_id, offset).
+    Smaller steps and a smaller memo of the encoder take less memory and more time."""
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    table = common.materialize(base.mapInArrow(common.lean(_pack_texts(tokenizer or tokens.default_tokenizer(), window, n_open)), PIECES),
-                               "packed-0")
+    texts = _pack_texts(tokenizer or tokens.default_tokenizer(), window, n_open, step_bytes, memo_pieces)
+    table = common.materialize(base.mapInArrow(common.lean(texts), PIECES), "packed-0")
     done = [table.filter("share IS NULL")]
     level = 0
     while True:

@@ -43,7 +43,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a document in a training window."""
     with common.modest_batches(spark):
-        return bounded_packing.pack(docs)
+        return bounded_packing.pack(docs, step_bytes=1 << 20, memo_pieces=100_000)
 
 
 STAGES = [("quality", quality), ("exact", exact), ("near", near), ("mix", mix), ("pack", pack)]
