@@ -293,3 +293,71 @@ def test_sketches_of_a_group_come_once():
                for part in (rows[:5], rows[5:])]
     found = [tuple(r.values()) for batch in partenum_join._across(iter(batches)) for r in batch.to_pylist()]
     assert found == [(0, 1)]
+
+
+def crowd(count, swapped):
+    """Sets of 100 that each differ from one set by a few elements of their own."""
+    rng = np.random.default_rng(count)
+    base = rng.integers(1, 1 << 63, 100).astype(np.uint64)
+    sets = []
+    for k in range(count):
+        n = swapped[k % len(swapped)]
+        own = rng.integers(1, 1 << 63, n).astype(np.uint64)
+        sets.append(np.unique(np.r_[np.delete(base, rng.choice(100, n, replace=False)), own]))
+    return sets
+
+
+def test_a_crowd_gives_no_row_per_pair():
+    """Members of one large bucket, all in components of their own, whose pairs nearly all pass the bound."""
+    sets = crowd(200, [7])
+    rows = [(7, None, i, i, len(x), partenum_join.parity_sketch(x)) for i, x in enumerate(sets, 1)]
+    rows += [(7, b, i, None, None, None) for b in (1, 2) for i in range(1, 201)]
+    kinds = [pa.int64()] * 5 + [pa.binary()]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)],
+                                       names=["grp", "bucket", "rep", "comp", "n", "sketch"])
+    found = [tuple(r.values()) for b in partenum_join._across(iter([batch])) for r in b.to_pylist()]
+    assert found == [(1, i) for i in range(2, 201)]
+
+
+@pytest.mark.parametrize("swapped", [[7], [8], [9], [2, 8, 9, 10, 11]])
+def test_neighbourhood_joins_components(swapped):
+    """Fewer links than members, the same components as by all links; given components count."""
+    sets = crowd(120, swapped) + crowd(30, [8])[:10] + [np.arange(1, 140, dtype=np.uint64), np.arange(1, 181, dtype=np.uint64)]
+    comp = [k // 3 if k < 30 else k for k in range(len(sets))]
+
+    def merged(links):
+        label = list(comp)
+        for a, b in links:
+            label = [label[a] if x == label[b] else x for x in label]
+        return [label.index(x) for x in label]
+
+    every = [(a, b) for b in range(len(sets)) for a in range(b)
+             if partenum_join.linked(len(np.intersect1d(sets[a], sets[b])), len(sets[a]), len(sets[b]))]
+    got = partenum_join._joining(list(range(len(sets))), comp, sets)
+    assert {(min(p), max(p)) for p in got} <= set(every)
+    assert merged(got) == merged(every)
+    assert len(got) == len(set(comp)) - len(set(merged(every)))
+
+
+def test_neighbourhoods_of_texts(spark, monkeypatch):
+    """Texts around one, in an order that leaves the smallest of them linked with few."""
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(104)]
+    rows = []
+    for i in range(150):
+        w = list(base)
+        for k in rng.sample(range(20), 3 if i else 9):
+            w[5 * k + rng.randrange(5)] = f"x{rng.randrange(10 ** 6)}"
+        rows.append((i, " ".join(w)))
+    stored, counts = partenum_join._stored, {}
+
+    def counted(df, name):
+        out = stored(df, name)
+        counts[name] = max(counts.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(partenum_join, "_stored", counted)
+    got = {r.doc_id: r.component_id for r in partenum_join.jaccard_components(
+        spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert got == brute_components(rows)
+    assert counts["neighbourhoods"] < 150 and counts["to-verify"] < 300
